@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"), min_words=50)
+    size = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_words", size("spans").alias("n_repeated"), size("later").alias("n_later"), line("spans").alias("spans"), line("later").alias("later"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
@@ -34,12 +41,80 @@ FROM d LEFT JOIN k USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents.where(~language_id.held_out("doc_id")))
+    found = language_id.predict(documents, model)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.counts(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=50)
+    n = F.size("deleted_lines")
+    return found.select("doc_id", n.cast("long").alias("n_deleted"), F.array_join(F.col("deleted_lines").cast("array<string>"), ",").alias("deleted"), F.md5("text").alias("text_md5"))
+
+
+OP5_SQL = r"""
+WITH u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS c, length(line) + 1 AS k FROM u),
+p AS (SELECT a.doc_id, a.i, b.i AS j FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.i < a.i + 50 AND b.c - a.c + a.k >= 50),
+w AS (SELECT doc_id, i, min(j) AS j FROM p GROUP BY doc_id, i UNION SELECT doc_id, max(i), j FROM p GROUP BY doc_id, j),
+t AS (SELECT w.doc_id, w.i, w.j, string_agg(l.line, chr(10) ORDER BY l.i) AS block FROM w JOIN l ON l.doc_id = w.doc_id AND l.i BETWEEN w.i AND w.j GROUP BY w.doc_id, w.i, w.j),
+f AS (SELECT *, row_number() OVER (PARTITION BY block, j - i ORDER BY doc_id, i) AS r FROM t),
+g AS (SELECT DISTINCT doc_id, x FROM (SELECT doc_id, unnest(range(i, j + 1)) AS x FROM f WHERE r > 1)),
+n AS (SELECT doc_id, count(*) AS n_deleted, string_agg(CAST(x AS VARCHAR), ',' ORDER BY x) AS deleted FROM g GROUP BY doc_id),
+k AS (SELECT u.doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM u LEFT JOIN g ON g.doc_id = u.doc_id AND g.x = u.i WHERE g.x IS NULL GROUP BY u.doc_id)
+SELECT d.doc_id, coalesce(n_deleted, 0) AS n_deleted, coalesce(deleted, '') AS deleted, CASE WHEN d.text IS NOT NULL THEN md5(coalesce(k.text, '')) END AS text_md5
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), seed=17)
+
+
+OP9_SQL = r"""
+WITH RECURSIVE s AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+r AS (SELECT source, CAST(1 AS DOUBLE) / (SELECT CAST(count(*) AS DOUBLE) FROM s) * (SELECT CAST(sum(n) AS DOUBLE) FROM s) / n AS rate FROM s),
+q AS (SELECT source, CAST(ceil(rate / 16) AS INTEGER) AS pieces, rate / ceil(rate / 16) AS m FROM r),
+c AS (SELECT source, m, 0 AS k, exp(-m) AS p, exp(-m) AS cdf FROM q UNION ALL SELECT source, m, k + 1, p * m / (k + 1), cdf + p * m / (k + 1) FROM c WHERE k < 99),
+u AS (SELECT doc_id, source, ('0x' || substr(md5('17|' || doc_id || '|' || j), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM (SELECT doc_id, d.source, unnest(range(1, pieces + 1)) AS j FROM documents d JOIN q ON d.source IS NOT DISTINCT FROM q.source)),
+n AS (SELECT doc_id, sum(x) AS n FROM (SELECT doc_id, (SELECT count(*) FROM c WHERE c.source IS NOT DISTINCT FROM u.source AND cdf <= u) AS x FROM u) GROUP BY doc_id),
+e AS (SELECT doc_id, CAST(unnest(range(1, CAST(n AS BIGINT) + 1)) AS INTEGER) AS copy FROM n)
+SELECT d.*, e.copy, ('0x' || substr(md5('17|' || d.doc_id || '|' || e.copy || '|order'), 1, 15))::BIGINT AS shuffle_key FROM documents d JOIN e USING (doc_id)
+"""
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.select(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select("doc_id", "log_weight")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_language_id": op3_language_id,
+    "op4_secrets": op4_secrets,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_quality": op6_quality,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_simhash": op8_simhash,
+    "op9_mixing": op9_mixing,
+    "op10_html_extract": op10_html_extract,
 }
-ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL}
+ORACLE: dict[str, str] = {"op2_decontaminate": OP2_SQL, "op5_line_dedup": OP5_SQL, "op9_mixing": OP9_SQL}
