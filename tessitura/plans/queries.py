@@ -482,11 +482,11 @@ def diarization_json(spark, sf_dir):
     return made.select("recording_id", parsed.alias("p")).select("recording_id", "p.num_speakers", F.size("p.segments").alias("n"), F.round(F.array_min(F.transform("p.segments", lambda x: x["start"])), 6).alias("first_start"))
 
 
-@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 0 ELSE value END AS duration_s, CASE WHEN event_id % 4 <> 0 THEN user_id END AS size_bytes FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 0 ELSE value END AS duration_s, CASE WHEN event_id % 4 <> 0 THEN user_id ELSE -1 END AS size_bytes FROM events")
 def probe_metadata(spark, sf_dir):
     good = F.concat(F.lit('{"format":{"duration":"'), F.col("value").cast("string"), F.lit('","size":"'), F.col("user_id").cast("string"), F.lit('"}}'))
     rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("recording_id"), F.lit(0).alias("file_idx"), F.lit("a").alias("filename"), F.when(F.col("event_id") % 4 == 0, "not json").otherwise(good).alias("probe"))
-    return inputs.probe_rows(rows).select(F.col("recording_id").alias("event_id"), "duration_s", "size_bytes")
+    return inputs.probe_rows(rows).select(F.col("recording_id").alias("event_id"), "duration_s", F.coalesce("size_bytes", F.lit(-1).cast("long")).alias("size_bytes"))
 
 
 @query("SELECT n_nationkey, n_name AS name, CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey * 1000 AS VARCHAR) ELSE n_nationkey || ' MiB' END AS memory_mb, '550.1' AS driver_version, '8.9' AS cuda_version FROM nation")
