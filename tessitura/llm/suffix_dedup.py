@@ -206,13 +206,13 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 rows, offsets = np.nonzero(valid)
                 at = pa.array(rows)
                 pos = batch.column("pos").to_numpy()
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), pa.array(hashes[rows, offsets].view(np.int64)), batch.column("id").take(at), batch.column("doc").take(at), batch.column("n_words").take(at), pa.array((pos[rows] - offsets).astype(np.int32))], names=["key", "window", "id", "doc", "n_words", "start"])
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), pa.array(offsets.astype(np.int32)), pa.array(hashes[rows, offsets].view(np.int64)), batch.column("id").take(at), batch.column("doc").take(at), batch.column("n_words").take(at), pa.array((pos[rows] - offsets).astype(np.int32))], names=["key", "offset", "window", "id", "doc", "n_words", "start"])
 
-    wide = T.StructType([T.StructField("key", T.LongType()), T.StructField("window", T.LongType()), *found_schema.fields[:4]])
+    wide = T.StructType([T.StructField("key", T.LongType()), T.StructField("offset", T.IntegerType()), T.StructField("window", T.LongType()), *found_schema.fields[:4]])
     heavy = map_rows(around.where("heavy"), exploded, wide)
     place = F.struct("id", "doc", "start")
-    again = heavy.groupBy("key", "window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    heavy_found = heavy.join(again, ["key", "window"]).select("id", "doc", "n_words", "start", (F.col("start") + min_words).alias("end"), (~place.eqNullSafe(F.col("first"))).alias("later"))
+    again = heavy.groupBy("key", "offset", "window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    heavy_found = heavy.join(again, ["key", "offset", "window"]).select("id", "doc", "n_words", "start", (F.col("start") + min_words).alias("end"), (~place.eqNullSafe(F.col("first"))).alias("later"))
     spans = found.union(heavy_found)
 
     def merged(of: F.Column) -> F.Column:
