@@ -1,12 +1,15 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text.
 
 Both models are document frequencies of hashed features: words (lower-cased, between
-ASCII white space), their first five bytes, and the tenth into which the share of a
-document's word 4-grams that repeat earlier ones falls. *Target* is a bounded sample of
+ASCII white space), their first four and last two bytes, and the tenth into which the share of a
+document's word 4-grams that repeat earlier ones falls. A feature has a bucket in each of
+two tables, and counts as the less telling of the two: of the thousands of features of a
+long clean text some share a bucket with a telling one by chance, but hardly any in both
+tables. *Target* is a bounded sample of
 labelled good documents, *raw* all documents. A feature's log ratio compares its target
 count with the count expected at its raw frequency, both raised by ``prior``; ratios
-within a factor e of one are noise and count 0, and no ratio counts above 0, so that long
-clean text cannot outvote a few plain signs. A document's log weight is the sum over its
+near or above one count 0 (how near is chosen on the sample), so that neither noise nor
+long clean text can outvote a few plain signs. A document's log weight is the sum over its
 features.
 
 Selection is by Gumbel top-k: log weight plus ``temperature`` times a Gumbel variable
@@ -38,18 +41,18 @@ from .common import BYTE_BASE, WORD_BASE, Rolling, chunks, find_words, map_rows,
 BITS = 20
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-PREFIX_BYTES, REPEAT_WORDS = 5, 4
+PREFIX_BYTES, TAIL_BYTES, REPEAT_WORDS = 4, 2, 4
 
 
 class Features:
     """Distinct hashed features of documents."""
 
     def __init__(self, bits: int = BITS):
-        self.shift, self.bits = np.uint64(64 - bits), bits
+        self.shift, self.bits = np.uint64(64 - 2 * bits), bits
         self.by_byte, self.by_word = Rolling(BYTE_BASE), Rolling(WORD_BASE)
 
     def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(document, bucket) of each distinct feature, some documents at a time."""
+        """(document, bucket in the first table, in the second) of each distinct feature, some documents at a time."""
         for first, part in chunks([(t or "").lower() for t in texts]):
             data, starts, ends, per_text = find_words(part, IS_WORD)
             n = len(part)
@@ -58,10 +61,13 @@ class Features:
             words = self.by_byte.slices(prefix, starts, ends)
             long = np.flatnonzero(ends - starts > PREFIX_BYTES)
             heads = mix(self.by_byte.slices(prefix, starts[long], starts[long] + PREFIX_BYTES) + np.uint64(1))
+            tailed = np.flatnonzero(ends - starts > TAIL_BYTES)
+            tails = mix(self.by_byte.slices(prefix, ends[tailed] - TAIL_BYTES, ends[tailed]) + np.uint64(2))
             repeated = mix(self.repeats(words, doc, n).astype(np.uint64) + np.uint64(0x51ED270B))
-            bucket = np.concatenate([words, heads, repeated]) >> self.shift
-            key = np.unique((np.concatenate([doc, doc[long], np.arange(n)]).astype(np.int64) << self.bits) | bucket.astype(np.int64))
-            yield first + (key >> self.bits), key & ((1 << self.bits) - 1)
+            hashes = np.concatenate([words, heads, tails, repeated]) >> self.shift
+            key = np.unique((np.concatenate([doc, doc[long], doc[tailed], np.arange(n)]).astype(np.int64) << (2 * self.bits)) | hashes.astype(np.int64))
+            size = 1 << self.bits
+            yield first + (key >> (2 * self.bits)), (key >> self.bits) & (size - 1), size + (key & (size - 1))
 
     def repeats(self, words: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         """Of each document: the tenth of its word 4-grams' share that repeat."""
@@ -86,15 +92,16 @@ class Model:
 def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> tuple[np.ndarray, int]:
     """(document frequency of each bucket, number of documents).
 
-    A task sends its non-zero buckets only; the sum has at most 2**bits rows.
+    Buckets of the second table follow those of the first. A task sends its non-zero
+    buckets only; the sum has at most 2 * 2**bits rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, total, rows = Features(bits), np.zeros(1 << bits, np.int64), 0
+        features, total, rows = Features(bits), np.zeros(2 << bits, np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            for _, bucket in features.of(batch.column(0).to_pylist()):
-                total += np.bincount(bucket, minlength=1 << bits)
+            for _, one, two in features.of(batch.column(0).to_pylist()):
+                total += np.bincount(np.concatenate([one, two]), minlength=2 << bits)
         at = np.flatnonzero(total)
         for a in range(0, len(at), 1 << 16):
             some = at[a : a + (1 << 16)]
@@ -102,8 +109,8 @@ def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> tuple[np.n
         yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["bucket", "n"])
 
     summed = map_rows(texts.select(text_col), run, T._parse_datatype_string("bucket int, n long")).groupBy("bucket").agg(F.sum("n").alias("n"))
-    # packed, so that the driver gets a few numbers a bucket and no row objects
-    out, rows = np.zeros(1 << bits, np.float64), 0
+    # as Arrow, so that the driver gets two numbers a bucket and no row objects
+    out, rows = np.zeros(2 << bits, np.float64), 0
     table = summed.toArrow()
     bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
     for b in np.flatnonzero(bucket < 0):
@@ -112,35 +119,44 @@ def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> tuple[np.n
     return out, rows
 
 
-def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, name: str = "log_weight") -> DataFrame:
-    """The documents, all columns, and their log weight. The ratios are broadcast: 2**BITS floats."""
-    shared = documents.sparkSession.sparkContext.broadcast(ratio)
-    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
+def weigh(documents: DataFrame, ratios: dict[str, np.ndarray], text_col: str) -> DataFrame:
+    """The documents, all columns, and their log weight by each named table of ratios.
+
+    The tables are broadcast: 2 * 2**BITS floats each.
+    """
+    shared = documents.sparkSession.sparkContext.broadcast(ratios)
+    schema = T.StructType([*documents.schema.fields, *(T.StructField(name, T.DoubleType()) for name in ratios)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, ratio = Features(int(math.log2(len(shared.value)))), shared.value
+        tables = shared.value
+        features = Features(int(math.log2(len(next(iter(tables.values()))))) - 1)
         for batch in batches:
-            total = np.zeros(batch.num_rows)
-            for doc, bucket in features.of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
-                total += np.bincount(doc, weights=ratio[bucket], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total)], names=[*batch.schema.names, name])
+            total = {name: np.zeros(batch.num_rows) for name in tables}
+            for doc, one, two in features.of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
+                for name, ratio in tables.items():
+                    total[name] += np.bincount(doc, weights=np.maximum(ratio[one], ratio[two]), minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, total.values())], names=[*batch.schema.names, *total])
 
     return map_rows(documents, run, schema)
 
 
-def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The weight, between two observed ones, with the best balanced accuracy; of equals the lowest."""
+def best_cut(good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
+    """(twice the balanced accuracy, cut) of the best cut between two observed weights; of equals the lowest."""
     if not len(good) or not len(bad):
-        return -math.inf
+        return 1.0, -math.inf
     values = np.unique(np.concatenate([good, bad]))
     cuts = np.concatenate([[-math.inf], (values[1:] + values[:-1]) / 2])
     kept_good = 1 - np.searchsorted(np.sort(good), cuts) / len(good)
     lost_bad = np.searchsorted(np.sort(bad), cuts) / len(bad)
-    return float(cuts[np.argmax(kept_good + lost_bad)])
+    best = np.argmax(kept_good + lost_bad)
+    return float(kept_good[best] + lost_bad[best]), float(cuts[best])
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 5.0) -> Model:
-    """A model from about ``most_labels`` labelled documents, chosen by a hash of their id, and all documents."""
+def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 5.0, zones: tuple[float, ...] = (-1.0, -1.3, -1.6)) -> Model:
+    """A model from about ``most_labels`` labelled documents, chosen by a hash of their id, and all documents.
+
+    Log ratios over a zone's limit count 0; of ``zones`` the one that separates the sample best is taken.
+    """
     known = labels.select(F.col(label_id_col).alias("__of"), F.col(quality_col).alias("q"), F.col(toxic_col).alias("t")).where("__of IS NOT NULL AND (q IS NOT NULL OR t IS NOT NULL)")
     known = known.groupBy("__of").agg(((F.coalesce(F.min("q"), F.lit(1)) > 0) & (F.coalesce(F.max("t"), F.lit(0)) < 1)).alias("good"))
     number = known.count()
@@ -151,12 +167,16 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     raw, rows = frequencies(documents, text_col)
     if not targets:
         return Model(np.zeros(len(raw), np.float32), -math.inf)
-    ratio = np.log((target + prior) / (raw * (targets / max(1, rows)) + prior))
-    ratio[ratio > -1] = 0
-    ratio = ratio.astype(np.float32)
-    scored = weigh(sample, ratio, "text").select("good", "log_weight").toArrow()  # about most_labels rows
-    good, weight = scored.column("good").to_numpy(), scored.column("log_weight").to_numpy()
-    return Model(ratio, best_cut(weight[good], weight[~good]))
+    ratio = np.log((target + prior) / (raw * (targets / max(1, rows)) + prior)).astype(np.float32)
+    tables = {f"w{i}": np.where(ratio > zone, 0, ratio).astype(np.float32) for i, zone in enumerate(zones)}
+    scored = weigh(sample, tables, "text").select("good", *tables).toArrow()  # about most_labels rows
+    good = scored.column("good").to_numpy()
+    found = []
+    for name in tables:
+        weight = scored.column(name).to_numpy()
+        found.append((*best_cut(weight[good], weight[~good]), name))
+    score, cut, name = max(found, key=lambda f: f[0])
+    return Model(tables[name], cut)
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
@@ -188,7 +208,7 @@ def select(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", t
     """The documents that importance resampling keeps, all columns, and their log weight."""
     model = fit(documents, labels, id_col=id_col, text_col=text_col, **options)
     value = (F.col(weight_col) + temperature * gumbel(id_col, seed)).alias("value")
-    weighed = weigh(documents.drop(weight_col), model.ratio, text_col, weight_col)
-    values = materialize(weigh(documents.select(id_col, text_col), model.ratio, text_col, weight_col).select(weight_col, value), "weights")
+    weighed = weigh(documents.drop(weight_col), {weight_col: model.ratio}, text_col)
+    values = materialize(weigh(documents.select(id_col, text_col), {weight_col: model.ratio}, text_col).select(weight_col, value), "weights")
     k = values.where(F.col(weight_col) >= model.cut).count()
     return weighed.where(value >= kth_largest(values, "value", k)) if k else weighed.limit(0)
