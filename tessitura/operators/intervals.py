@@ -95,3 +95,11 @@ def append_chunks(segments: DataFrame, chunk_s: float = 2500.0) -> DataFrame:
     moved = segments.join(chunk_id_offsets(segments).drop("speakers"), ["recording_id", "chunk_idx"])
     shift = F.col("chunk_idx") * chunk_s
     return moved.select("recording_id", "chunk_idx", F.round(F.col("start") + shift, 3).alias("start"), F.round(F.col("end") + shift, 3).alias("end"), (F.col("speaker_id") + F.col("id_offset")).alias("speaker_id"))
+
+
+def head(lines: DataFrame, within_s: float = 30.0) -> DataFrame:
+    """The first line of each recording that starts in its first ``within_s`` seconds: what detection reads."""
+    early = lines.where(F.col("t") < within_s)
+    rest = [c for c in lines.columns if c != "recording_id"]
+    first = F.min_by(F.struct(*rest), F.struct("t", "line_idx")).alias("__first")
+    return early.groupBy("recording_id").agg(first).select("recording_id", *(F.col("__first")[c].alias(c) for c in rest))

@@ -18,6 +18,7 @@ from ..functions import formatting as fmt
 from ..functions import language, metrics, signal, vectors
 from ..operators import clustering, frames, intervals, lines
 from ..sources import inputs
+from ..sources import models as model_roles
 from . import diarize, job
 from .validate import DEFAULT_CANDIDATES, validated
 
@@ -206,6 +207,17 @@ def align_labeled(spark, sf_dir):
     return intervals.align(event_lines(spark, sf_dir), segments(spark, sf_dir))
 
 
+@query(f"WITH {LINES}, r AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY t, line_idx) AS k FROM l WHERE t < 30) SELECT recording_id, line_idx, t FROM r WHERE k = 1")
+def detection_head(spark, sf_dir):
+    return intervals.head(event_lines(spark, sf_dir))
+
+
+@query(f"WITH {SEG} SELECT recording_id, seg_idx, floor(b) + 2500 AS start, floor(e) + 2500 AS \"end\", printf('speaker_%02d', seg_idx % 5 + 7) AS speaker FROM s")
+def library_segments(spark, sf_dir):
+    rows = segments(spark, sf_dir).select("recording_id", F.col("seg_idx").alias("seq"), F.floor("start").cast("double").alias("start_s"), F.floor("end").cast("double").alias("end_s"), (F.col("seg_idx") % 5).alias("speaker_id"))
+    return model_roles.library_segments(rows, 2500.0, 7)
+
+
 # --- frames and samples ---
 
 
@@ -384,6 +396,24 @@ def lang_windows(spark, sf_dir):
     return lines.language_flags(_lang_lines(spark, sf_dir))
 
 
+@query(f"""WITH {VOTES}, r AS (SELECT DISTINCT recording_id FROM d UNION ALL SELECT 'silent' UNION ALL SELECT 'aimed') SELECT r.recording_id, 'base.en' AS model, CASE WHEN r.recording_id = 'aimed' THEN 'pt' ELSE coalesce(overall_detected_language, 'unknown') END AS overall_detected_language, coalesce(overall_confidence, 0) AS overall_confidence,
+(CASE WHEN x.n > 0 THEN (x.n + 9) // 10 ELSE 0 END)::INTEGER AS windows FROM r LEFT JOIN o ON r.recording_id = o.recording_id LEFT JOIN (SELECT recording_id, max(n) AS n FROM k GROUP BY recording_id) x ON x.recording_id = r.recording_id""")
+def flags_document(spark, sf_dir):
+    rows = _lang_lines(spark, sf_dir)
+    every = rows.select("recording_id", F.lit(None).cast("string").alias("target")).distinct().union(spark.createDataFrame([("silent", None), ("aimed", "pt")], "recording_id string, target string"))
+    made = lines.flags_document(every, lines.language_flags(rows), "base.en")
+    return made.select("recording_id", "model", "overall_detected_language", "overall_confidence", F.size("window_flags").alias("windows"))
+
+
+@query("""SELECT l_orderkey AS recording_id, 'base.en' AS model, count(*)::INTEGER AS n, max(round(l_extendedprice / 7, 3)) AS last_start, max(CASE WHEN l_linenumber % 2 = 0 THEN round(l_tax / 3, 4) ELSE -1 END) AS top_temperature FROM lineitem GROUP BY l_orderkey""")
+def segment_metadata(spark, sf_dir):
+    k = F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("recording_id"), F.lit("base.en").alias("model"), F.lit("en").alias("detected_language"), F.lit(0.5).alias("language_probability"), k.alias("seg_idx"), (F.col("l_extendedprice") / 7).alias("start"), (F.col("l_extendedprice") / 6).alias("end"), F.lit(0.1).alias("no_speech_prob"), F.col("l_discount").alias("avg_logprob"), F.lit(1.5).alias("compression_ratio"), F.when(k % 2 == 0, F.col("l_tax") / 3).alias("temperature"), F.col("l_returnflag").alias("text"))
+    parsed = F.from_json("content", "struct<model:string,segments:array<struct<start:double,temperature:double>>>")
+    made = job.metadata_document(rows).select("recording_id", parsed.alias("p"))
+    return made.select("recording_id", "p.model", F.size("p.segments").alias("n"), F.array_max(F.transform("p.segments", lambda x: x["start"])).alias("last_start"), F.array_max(F.transform("p.segments", lambda x: F.coalesce(x["temperature"], F.lit(-1.0)))).alias("top_temperature"))
+
+
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN 'en' END AS target, CASE WHEN doc_id % 3 = 2 AND lang <> 'en' THEN 'POSSIBLE_LANGUAGE_MISMATCH' END AS flag FROM documents")
 def lang_target(spark, sf_dir):
     k = F.col("doc_id") % 3
