@@ -140,9 +140,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Returns (node, root) for every node that has an edge, root included; root is the
     smallest node of the component. Self-links and nulls are ignored. Each round is an
-    aggregate that combines before its shuffle and a join of edges to one row a node,
-    whose large partitions Spark can split; each round's edges are a table in the
-    shared folder, so a lost executor costs one round at most.
+    aggregate that combines before its shuffle and a join of edges to a table of one row a
+    node, so that Spark can split the edges of a large star; each round's edges are a
+    table in the shared folder, so a lost executor costs one round at most.
     """
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = materialize(pairs, "edges")
@@ -153,7 +153,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         seen = digest
         both = now.select(F.col("v").alias("node"), "v").union(now.select(F.col("u").alias("node"), "v"))
-        least = both.groupBy("node").agg(F.min("v").alias("m"))
+        least = materialize(both.groupBy("node").agg(F.min("v").alias("m")), "least")
         large = now.join(least, now["v"] == least["node"]).select("u", F.col("m").alias("v"))
         lowest = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "node")
         small = (

@@ -168,8 +168,9 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     tree = components(pairs_within(distinct, radius=radius, blocks=blocks, most=most))
     root = tree.groupBy("node").agg(F.min("root").alias("root"))
     named = distinct.join(root, distinct["fp"] == root["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = named.join(least, "root").select(F.col("fp").alias("of"), "component_id")
+    # tables as plain sides, so that Spark can split the joins at a large group
+    least = materialize(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    by_fp = materialize(named.join(least, "root").select(F.col("fp").alias("of"), "component_id"), "named")
     return rows.join(by_fp, rows["fp"] == by_fp["of"]).select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
