@@ -153,6 +153,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     roots = components(found.where("links = 0").select("u", "v"))
     roots = roots.groupBy("node").agg(F.min("root").alias("root"))
     named = distinct.join(links, "node", "left").join(roots, "node", "left").select(F.col("x").alias("of"), F.coalesce("root", "node").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    named = materialize(named, "named")  # a plain side, so that Spark can split the other at a frequent vector
     # invalid vectors get a null key, so that they match nothing
     keyed = source.select("id", F.when(fine, x).alias("x"))
     joined = keyed.join(named, keyed["x"] == named["of"], "left")

@@ -50,9 +50,10 @@ def rates(documents: DataFrame, *, source_col: str, weights: Mapping[str | None,
         for source, w in weights.items():
             weight = F.when(F.col("source").eqNullSafe(F.lit(source)), F.lit(float(w))).otherwise(weight)
     sizes = sizes.withColumn("w", weight)
-    whole = sizes.agg(F.sum("w").alias("all_w"), F.sum("n").alias("all_n"))
-    out = F.lit(float(total)) if total is not None else F.col("all_n").cast("double")
-    return sizes.join(F.broadcast(whole)).select("source", F.coalesce(F.col("w") / F.nullif("all_w", F.lit(0.0)) * out / F.col("n"), F.lit(0.0)).alias("rate"))  # one row is broadcast
+    whole = sizes.agg(F.sum("w").alias("w"), F.sum("n").alias("n")).first()
+    out = float(total if total is not None else whole["n"] or 0)
+    rate = F.col("w") / F.lit(whole["w"]) * F.lit(out) / F.col("n") if whole["w"] else F.lit(0.0)
+    return sizes.select("source", rate.alias("rate"))
 
 
 def mix_sources(documents: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", weights: Mapping[str | None, float] | None = None, total: int | None = None, seed: int = 0) -> DataFrame:
