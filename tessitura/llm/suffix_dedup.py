@@ -4,19 +4,21 @@ What is found: every word that lies in a *repeated passage*, ``min_words`` conse
 words (separated by ASCII white space, compared exactly) that stand at two places or more.
 
 How. Suffixes are retained at content-selected positions only: the minimisers, i.e. the
-smallest hashes of ``gram`` words in every window of ``min_words`` words, so that each
-copy of a passage retains suffixes at the same places in it, about one in
-``(min_words - gram) / 2`` words. Retained suffixes are sorted by their first ``gram``
-words; those with no equal neighbour drop out by a count. The rest are given the words
-around them, as far as one window reaches, and are sorted again; runs of neighbours with
-the same first words are then extended to the left and to the right: at each of the ways
-in which a window can lie over the position, equal windows are matches. As positions
-follow each other closely, passages of any length are covered piece by piece.
+smallest hashes of ``gram`` words at every ``reach`` consecutive places, about one place in
+``reach / 2``. So every passage retains a suffix among its first ``reach`` words, at the
+same place in each copy, and copies share the ``min_words - reach + 1`` words from there
+on, the suffix's *head*. Suffixes without an equal head drop out by a count. The rest are
+given the words around them, as far as one passage reaches, and are sorted by their heads;
+runs of neighbours with the same head are then extended to the left and to the right: at
+each of the ways in which a passage can lie over the position, equal ones are matches. As
+positions follow each other closely, longer passages are covered piece by piece. Where a
+text repeats a word or a few words, equal suffixes follow each other at equal distances;
+they travel as one row with a distance and a number.
 
 Runs over ``most`` suffixes (a passage in a large part of all documents) do not stay in
 one task: their windows are counted by an aggregate that combines before the shuffle.
 
-Words are compared by hashes (64 bits for the first words, 32 bits a word in extending).
+Words are compared by hashes (64 bits for heads, 32 bits a word in extending).
 
 Defined cases: null, empty and shorter texts have no passage; repeats inside one document
 count; the first copy is the one with the smallest (id, word number); rows equal in id and
@@ -52,11 +54,25 @@ def sliding(values: np.ndarray, width: int, smallest: bool) -> np.ndarray:
     return f(out[:-rest], out[rest:]) if rest else out
 
 
+def progressions(at: np.ndarray, heads: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places with equal heads at equal distances of at most ``most``: (first place, head, number, distance)."""
+    order = np.lexsort((at, heads))
+    at, heads = at[order], heads[order]
+    gap = np.diff(at)
+    near = (heads[1:] == heads[:-1]) & (gap <= most)
+    broken = ~near
+    broken[1:] |= near[1:] & near[:-1] & (gap[1:] != gap[:-1])
+    new = np.flatnonzero(np.concatenate(([True], broken))) if len(at) else np.zeros(0, np.int64)
+    number = np.diff(np.concatenate((new, [len(at)])))
+    step = np.where(number > 1, np.concatenate((gap, [1]))[new] if len(at) else 1, 1)
+    return at[new], heads[new], number, step
+
+
 class Words:
     """Word hashes of texts and the minimisers among them."""
 
-    def __init__(self, min_words: int, gram: int):
-        self.min_words, self.gram = min_words, gram
+    def __init__(self, min_words: int, gram: int, reach: int):
+        self.min_words, self.gram, self.reach = min_words, gram, reach
         self.by_byte, self.by_word = Rolling(BYTE_BASE), Rolling(WORD_BASE)
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
@@ -68,75 +84,88 @@ class Words:
             for i, (a, b) in enumerate(zip(stops - per_text, stops, strict=True)):
                 yield first + i, hashes[a:b]
 
-    def retained(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, hashes of the first words) of the retained suffixes."""
-        if len(hashes) < self.min_words:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        at = np.arange(len(hashes) - self.gram + 1)
-        first = self.by_word.slices(self.by_word.prefix(hashes), at, at + self.gram)
-        width = self.min_words - self.gram + 1
-        low = sliding(first, width, True)
-        edge = np.zeros(width - 1, np.uint64)
-        chosen = np.flatnonzero(sliding(np.concatenate([edge, low, edge]), width, False) == first)
-        return chosen, first[chosen]
+    def retained(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(positions, hashes of the heads, numbers, distances) of the retained suffixes, as ``progressions``."""
+        n, head = len(hashes), self.min_words - self.reach + 1
+        if n < self.min_words:
+            return progressions(np.zeros(0, np.int64), np.zeros(0, np.uint64), self.reach)
+        prefix = self.by_word.prefix(hashes)
+        at = np.arange(n - self.gram + 1)
+        grams = self.by_word.slices(prefix, at, at + self.gram)
+        low = sliding(grams, self.reach, True)
+        edge = np.zeros(self.reach - 1, np.uint64)
+        chosen = np.flatnonzero(sliding(np.concatenate([edge, low, edge]), self.reach, False) == grams)
+        chosen = chosen[chosen + head <= n]
+        return progressions(chosen, self.by_word.slices(prefix, chosen, chosen + head), self.reach)
 
 
 def _identity(id_col: str, text_col: str) -> F.Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
-def retained_suffixes(documents: DataFrame, *, id_col: str, text_col: str, min_words: int, gram: int) -> DataFrame:
-    """(key, doc, pos) of every retained suffix; doc stands for id and text."""
+def retained_suffixes(documents: DataFrame, *, id_col: str, text_col: str, min_words: int, gram: int, reach: int) -> DataFrame:
+    """(key, doc, pos, m, step) of every retained suffix; doc stands for id and text, m and step for equal ones that follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(min_words, gram)
+        words = Words(min_words, gram, reach)
         for batch in batches:
-            docs, pos, keys = batch.column(0).to_numpy(zero_copy_only=False), [], []
-            of = []
+            docs, pos, keys, of, many, steps = batch.column(0).to_numpy(zero_copy_only=False), [], [], [], [], []
             for i, hashes in words.texts(batch.column(1).to_pylist()):
-                at, first = words.retained(hashes)
+                at, head, m, step = words.retained(hashes)
                 of.append(np.full(len(at), docs[i]))
                 pos.append(at)
-                keys.append(first)
+                keys.append(head)
+                many.append(m)
+                steps.append(step)
             if of:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(of).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32))], names=["key", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(of).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32)), pa.array(np.concatenate(many).astype(np.int32)), pa.array(np.concatenate(steps).astype(np.int32))], names=["key", "doc", "pos", "m", "step"])
 
-    return map_rows(documents.select(_identity(id_col, text_col).alias("doc"), F.col(text_col)), run, T._parse_datatype_string("key long, doc long, pos int"))
+    return map_rows(documents.select(_identity(id_col, text_col).alias("doc"), F.col(text_col)), run, T._parse_datatype_string("key long, doc long, pos int, m int, step int"))
 
 
-def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, most: int = 20_000) -> DataFrame:
+def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, reach: int = 30, most: int = 50_000) -> DataFrame:
     """(id, doc, n_words, spans, later): word spans in repeated passages, and of copies after the first.
 
     Spans are arrays of (start, end) in words, end exclusive, merged and in order.
     """
+    if not 1 < reach <= min_words - gram + 1:
+        raise ValueError("reach must be over 1 and at most min_words - gram + 1")
     id_type = documents.schema[id_col].dataType
-    suffixes = retained_suffixes(documents, id_col=id_col, text_col=text_col, min_words=min_words, gram=gram).distinct()
-    suffixes = materialize(suffixes, "suffixes")
-    equal = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    places = suffixes.join(equal, "key").groupBy("doc").agg(F.collect_list(F.struct("pos", "key", (F.col("n") > most).alias("heavy"))).alias("places"))
+    suffixes = retained_suffixes(documents, id_col=id_col, text_col=text_col, min_words=min_words, gram=gram, reach=reach)
+    equal = materialize(suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("places")).where("places > 1"), "heads")
     texts = documents.select(_identity(id_col, text_col).alias("of"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(places.hint("shuffle_hash"), texts["of"] == places["doc"]).select("doc", "id", "places.pos", "places.key", "places.heavy", "text")
-    left, width = min_words - gram, 2 * min_words - gram
+    left, width = reach - 1, min_words + reach - 1
 
     def extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The words around each retained suffix with an equal neighbour."""
-        words = Words(min_words, gram)
+        """The words around each retained suffix with an equal head."""
+        words = Words(min_words, gram, reach)
         for batch in batches:
-            pos, key, heavy = batch.column(2), batch.column(3), batch.column(4)
-            for i, hashes in words.texts(batch.column(5).to_pylist()):
-                at = pos[i].values.to_numpy().astype(np.int64)
+            pos, key, many, steps = (batch.column(k) for k in range(2, 6))
+            for i, hashes in words.texts(batch.column(6).to_pylist()):
+                m, step = many[i].values.to_numpy(), steps[i].values.to_numpy()
+                row = np.repeat(np.arange(len(m)), m)
+                # the places of each row, one after the other
+                at = pos[i].values.to_numpy()[row].astype(np.int64) + step[row] * (np.arange(len(row)) - (np.cumsum(m) - m)[row])
+                heads = key[i].values.to_numpy()[row]
                 short = (hashes >> np.uint64(32)).astype(np.uint32)
                 padded = np.concatenate([np.zeros(left, np.uint32), short, np.zeros(min_words, np.uint32)])
                 for a in range(0, len(at), 4096):
                     some = at[a : a + 4096]
-                    around = np.ascontiguousarray(padded[some[:, None] + np.arange(width)])
-                    n = len(some)
+                    around = padded[some[:, None] + np.arange(width)]
+                    part = row[a : a + 4096]
+                    new = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (around[1:] != around[:-1]).any(axis=1))))
+                    size = np.diff(np.concatenate((new, [len(some)])))
+                    some, around, n = some[new], np.ascontiguousarray(around[new]), len(new)
                     blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width * 4), n, [None, pa.py_buffer(around)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([key[i].values[a : a + n], pa.repeat(batch.column(1)[i], n), pa.repeat(batch.column(0)[i], n), pa.array(some.astype(np.int32)), pa.repeat(pa.scalar(len(hashes), pa.int32()), n), heavy[i].values[a : a + n], blob], names=["key", "id", "doc", "pos", "n_words", "heavy", "around"])
+                    yield pa.RecordBatch.from_arrays([pa.array(heads[a + new]), pa.repeat(batch.column(1)[i], n), pa.repeat(batch.column(0)[i], n), pa.array(some.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(step[part[new]].astype(np.int32)), pa.repeat(pa.scalar(len(hashes), pa.int32()), n), blob], names=["key", "id", "doc", "pos", "m", "step", "n_words", "around"])
+
+    around_schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", id_type), T.StructField("doc", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("m", T.IntegerType()), T.StructField("step", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("around", T.BinaryType())])
 
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", id_type), T.StructField("doc", T.LongType()), T.StructField("pos", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("heavy", T.BooleanType()), T.StructField("around", T.BinaryType())])
-    around = map_rows(joined, extended, schema)
-    around = materialize(around, "around")
+    def around(heads: DataFrame) -> DataFrame:
+        """The words around the suffixes with these heads. The texts meet one row of places a document."""
+        places = suffixes.join(heads.select("key"), "key").groupBy("doc").agg(F.collect_set(F.struct("pos", "key", "m", "step")).alias("places"))
+        joined = texts.join(places.hint("shuffle_hash"), texts["of"] == places["doc"]).select("doc", "id", "places.pos", "places.key", "places.m", "places.step", "text")
+        return map_rows(joined, extended, around_schema)
 
     def windows(batch: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Of each row and offset: the hash of the window that starts ``offset`` words before, and whether it is inside the text."""
@@ -148,33 +177,38 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         np.cumsum((data + np.uint64(1)) * rolling.up[:width], axis=1, dtype=np.uint64, out=prefix[:, 1:])
         start = left - np.arange(left + 1)
         hashes = (prefix[:, start + min_words] - prefix[:, start]) * rolling.down[start]
-        pos, size = batch.column("pos").to_numpy(), batch.column("n_words").to_numpy()
+        pos, size, m, step = (batch.column(c).to_numpy() for c in ("pos", "n_words", "m", "step"))
         begin = pos[:, None] - np.arange(left + 1)
-        return hashes, (begin >= 0) & (begin + min_words <= size[:, None])
+        return hashes, (begin >= 0) & (begin + ((m - 1) * step)[:, None] + min_words <= size[:, None])
 
     found_schema = T.StructType([T.StructField("id", id_type), T.StructField("doc", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("later", T.BooleanType())])
 
     def matches(table: pa.Table) -> pa.RecordBatch | None:
         """Windows that equal another's of the same run and offset, as spans."""
+        doc, place = table.column("doc").to_numpy(), table.column("pos").to_numpy()
+        table = table.filter(pa.array(np.concatenate(([True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])))))  # repeated rows
         hashes, valid = windows(table)
         key = table.column("key").to_numpy().view(np.uint64)
         offset = np.arange(left + 1, dtype=np.uint64)
         with np.errstate(over="ignore"):
             full = (hashes ^ (key[:, None] * np.uint64(0x9FB21C651E98DF25))) * np.uint64(0xD6E8FEB86659FD93) + offset
         rows, offsets = np.nonzero(valid)
-        _, first, inverse, count = np.unique(full[rows, offsets], return_index=True, return_inverse=True, return_counts=True)
-        hit = count[inverse] > 1
+        pos, many, step = (table.column(c).to_numpy() for c in ("pos", "m", "step"))
+        _, first, inverse = np.unique(full[rows, offsets], return_index=True, return_inverse=True)
+        hit = np.bincount(inverse, weights=many[rows])[inverse] > 1
         later = first[inverse] != np.arange(len(rows))
         rows, offsets, later = rows[hit], offsets[hit], later[hit]
         if not len(rows):
             return None
-        # runs of neighbouring offsets of one row with the same flag are one span
+        # neighbouring offsets of one row with the same flag are one span
         new = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]) | (offsets[1:] != offsets[:-1] + 1) | (later[1:] != later[:-1]))))
         last = np.concatenate((new[1:], [len(rows)])) - 1
-        at = pa.array(rows[new])
-        pos = table.column("pos").to_numpy()[rows[new]]
-        take = lambda c: table.column(c).combine_chunks().take(at)
-        return pa.RecordBatch.from_arrays([take("id"), take("doc"), take("n_words"), pa.array((pos - offsets[last]).astype(np.int32)), pa.array((pos - offsets[new] + min_words).astype(np.int32)), pa.array(later[new])], names=["id", "doc", "n_words", "start", "end", "later"])
+        at, later = rows[new], later[new]
+        start, end = pos[at] - offsets[last], pos[at] + (many[at] - 1) * step[at] - offsets[new] + min_words
+        more = np.flatnonzero(~later & (many[at] > 1))  # of equal neighbours all but the first are later copies
+        start, at, end, later = np.concatenate([start, start[more] + step[at[more]]]), np.concatenate([at, at[more]]), np.concatenate([end, end[more]]), np.concatenate([later, np.ones(len(more), bool)])
+        take = lambda c: table.column(c).combine_chunks().take(pa.array(at))
+        return pa.RecordBatch.from_arrays([take("id"), take("doc"), take("n_words"), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(later)], names=["id", "doc", "n_words", "start", "end", "later"])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole runs of equal first words, a few thousand rows at a time."""
@@ -195,7 +229,7 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             yield out
 
     # ids and places in order, so that the first of equal windows is the first copy
-    light = around.where("NOT heavy").repartition("key").sortWithinPartitions("key", "id", "doc", "pos")
+    light = around(equal.where(F.col("n") <= most)).repartition("key").sortWithinPartitions("key", "id", "doc", "pos")
     found = map_rows(light, runs, found_schema)
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,26 +240,61 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 rows, offsets = np.nonzero(valid)
                 at = pa.array(rows)
                 pos = batch.column("pos").to_numpy()
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), pa.array(offsets.astype(np.int32)), pa.array(hashes[rows, offsets].view(np.int64)), batch.column("id").take(at), batch.column("doc").take(at), batch.column("n_words").take(at), pa.array((pos[rows] - offsets).astype(np.int32))], names=["key", "offset", "window", "id", "doc", "n_words", "start"])
-
-    wide = T.StructType([T.StructField("key", T.LongType()), T.StructField("offset", T.IntegerType()), T.StructField("window", T.LongType()), *found_schema.fields[:4]])
-    heavy = map_rows(around.where("heavy"), exploded, wide)
-    place = F.struct("id", "doc", "start")
-    again = heavy.groupBy("key", "offset", "window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    heavy_found = heavy.join(again, ["key", "offset", "window"]).select("id", "doc", "n_words", "start", (F.col("start") + min_words).alias("end"), (~place.eqNullSafe(F.col("first"))).alias("later"))
-    spans = found.union(heavy_found)
-
-    def merged(of: F.Column) -> F.Column:
-        """Sorted spans, merged where they overlap or touch."""
-        ordered = F.array_sort(F.array_distinct(of))
-        start = F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("done"))
-        add = lambda a: F.when(a["start"].isNull(), a["done"]).otherwise(F.array_append(a["done"], F.struct(a["start"], a["end"])))
-        step = lambda a, x: F.when(x["start"] <= a["end"], F.struct(a["start"].alias("start"), F.greatest(a["end"], x["end"]).alias("end"), a["done"].alias("done"))).otherwise(F.struct(x["start"].alias("start"), x["end"].alias("end"), add(a).alias("done")))
-        return F.aggregate(ordered, start, step, add)
-
-    one = F.struct("start", "end")
-    grouped = spans.groupBy("doc", "id").agg(F.first("n_words").alias("n_words"), F.collect_set(one).alias("all"), F.collect_set(F.when(F.col("later"), one)).alias("copies"))
-    return grouped.select(F.col("id").alias(id_col), "doc", "n_words", merged(F.col("all")).alias("spans"), merged(F.col("copies")).alias("later"))
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), pa.array(offsets.astype(np.int32)), pa.array(hashes[rows, offsets].view(np.int64)), batch.column("id").take(at), batch.column("doc").take(at), batch.column("n_words").take(at), pa.array((pos[rows] - offsets).astype(np.int32)), batch.column("m").take(at), batch.column("step").take(at)], names=["key", "offset", "window", "id", "doc", "n_words", "start", "m", "step"])
+
+    spans, often = found, equal.where(F.col("n") > most)
+    if often.limit(1).count():
+        wide = T.StructType([T.StructField("key", T.LongType()), T.StructField("offset", T.IntegerType()), T.StructField("window", T.LongType()), *found_schema.fields[:4], T.StructField("m", T.IntegerType()), T.StructField("step", T.IntegerType())])
+        heavy = map_rows(around(often), exploded, wide).distinct()
+        place = F.struct("id", "doc", "start")
+        again = heavy.groupBy("key", "offset", "window").agg(F.min(place).alias("first"), F.sum("m").alias("places")).where("places > 1").drop("places")
+        again = materialize(again, "windows")
+        both = heavy.join(again, ["key", "offset", "window"]).withColumn("later", ~place.eqNullSafe(F.col("first"))).withColumn("end", F.col("start") + (F.col("m") - 1) * F.col("step") + min_words)
+        # of equal neighbours all but the first are later copies
+        kinds = F.when(F.col("later"), F.array(F.struct("start", "later"))).when(F.col("m") > 1, F.array(F.struct("start", "later"), F.struct((F.col("start") + F.col("step")).alias("start"), F.lit(True).alias("later")))).otherwise(F.array(F.struct("start", "later")))
+        spans = found.union(both.withColumn("kind", F.explode(kinds)).select("id", "doc", "n_words", "kind.start", "end", "kind.later"))
+
+    pair = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("doc", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("spans", pair), T.StructField("later", pair)])
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def merged(start: np.ndarray, end: np.ndarray) -> list[dict]:
+        """Spans in order of their starts, merged where they overlap or touch."""
+        if not len(start):
+            return []
+        far = np.maximum.accumulate(end)
+        new = np.flatnonzero(np.concatenate(([True], start[1:] > far[:-1])))
+        return [{"start": a, "end": b} for a, b in zip(start[new].tolist(), far[np.concatenate((new[1:], [len(start)])) - 1].tolist(), strict=True)]
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row of merged spans for each document; a document's rows follow each other."""
+
+        def made(table: pa.Table) -> pa.RecordBatch:
+            doc, start, end, later = (table.column(c).to_numpy() for c in ("doc", "start", "end", "later"))
+            cuts = np.concatenate(([0], np.flatnonzero(doc[1:] != doc[:-1]) + 1, [len(doc)]))
+            every, copies = [], []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                every.append(merged(start[a:b], end[a:b]))
+                of = later[a:b]
+                copies.append(merged(start[a:b][of], end[a:b][of]))
+            at = pa.array(cuts[:-1])
+            take = lambda c: table.column(c).combine_chunks().take(at)
+            return pa.RecordBatch.from_arrays([take("id"), take("doc"), take("n_words"), pa.array(every, kind), pa.array(copies, kind)], names=[id_col, "doc", "n_words", "spans", "later"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([*held, batch])
+            doc = table.column("doc").to_numpy()
+            cut = int(np.flatnonzero(doc != doc[-1])[-1]) + 1 if doc[0] != doc[-1] else 0
+            if cut:
+                yield made(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+        if held:
+            yield made(pa.Table.from_batches(held))
+
+    return map_rows(spans.repartition("doc").sortWithinPartitions("doc", "start"), by_document, schema)
 
 
 def dedup(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
