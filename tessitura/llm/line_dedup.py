@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 
 def _levels(min_chars: int) -> int:
     return max(0, min_chars.bit_length() - 1)
@@ -80,6 +82,7 @@ def later_copies(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
     all_blocks = blocks(documents, id_col=id_col, text_col=text_col, min_chars=min_chars)
     at = F.struct("id", "th", "start")
     repeated = all_blocks.groupBy("name", "name2", "n").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    repeated = materialize(repeated, "repeated")  # a plain side, so that Spark can split the other at a frequent line
     return all_blocks.join(repeated, ["name", "name2", "n"]).where(~at.eqNullSafe(F.col("first"))).select("id", "th", "start", "n", F.col("first.id").alias("first_id"), "copies")
 
 
