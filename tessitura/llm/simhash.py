@@ -29,19 +29,25 @@ from pyspark.sql import types as T
 from .common import Forest, components, map_rows, materialize
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """SimHash of the lower-cased (A-Z) text's shingles, repeats included."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42) -> list[int]:
+    """XXH64 of each shingle of the lower-cased (A-Z) text, repeats included."""
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
-        return 0
+        return []
     whole = b" ".join(found)
     digest = xxhash.xxh64_intdigest
     if len(found) <= words:
-        hashes = [digest(whole, seed)]
-    else:
-        stop = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
-        start = np.concatenate(([0], stop[: len(found) - words])).tolist()
-        hashes = [digest(whole[a:b], seed) for a, b in zip(start, (stop[words - 1 :] - 1).tolist(), strict=True)]
+        return [digest(whole, seed)]
+    stop = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+    start = np.concatenate(([0], stop[: len(found) - words])).tolist()
+    return [digest(whole[a:b], seed) for a, b in zip(start, (stop[words - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """SimHash of the lower-cased (A-Z) text's shingles, repeats included."""
+    hashes = shingle_hashes(text, words, seed)
+    if not hashes:
+        return 0
     values, ones = np.array(hashes, "<u8"), np.zeros(64, np.int64)
     for i in range(0, len(values), 1 << 15):
         bits = np.unpackbits(values[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

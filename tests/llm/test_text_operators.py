@@ -339,3 +339,30 @@ def test_poisson_draws(spark):
     for r in df.select("rate", mixing.distribution(F.col("rate")).alias("c")).collect():
         pmf = np.cumprod(np.concatenate([[np.exp(-r["rate"])], r["rate"] / np.arange(1, mixing.TERMS)]))
         assert np.allclose(r["c"], np.cumsum(pmf)) and abs(r["c"][-1] - 1) < 1e-12
+
+
+def test_near_copies_by_shingles(spark):
+    """The pipeline's near-duplicate stage against all pairs of 5-word shingle sets."""
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    base = [[rng.choice("ABCDE") + str(rng.randrange(90)) for _ in range(150)] for _ in range(10)]
+    tail = "the same words at the end of many texts as a frequent passage".split()
+    rows = []
+    for i in range(150):
+        w = list(base[i % 10])
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 4, 5])):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(99)}"
+        rows.append((i, rng.choice([" ", "\n"]).join(w + tail * (i % 2))))
+    rows += [(200, None), (201, ""), (202, " \t"), (203, "one"), (204, "one two"), (205, "ONE two"), (205, "ONE two"), (206, " ".join(tail))]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+
+    s = {i: shingles(t) for i, t in rows}
+    want = brute_components(sorted(s), lambda a, b: s[a] == s[b] or 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b]))
+    assert 12 < len(set(want.values())) < 100
+    out = corpus_pipeline.simhash_stage(spark, docs(spark, rows), "")
+    assert {r["doc_id"] for r in out.collect()} == set(want.values()) and out.columns == docs(spark, []).columns
+    assert corpus_pipeline.simhash_stage(spark, docs(spark, []), "").count() == 0
