@@ -10,8 +10,8 @@
    that is, their parents' paths are in the template too. Valid classes nested into each
    other are the host's template; text tokens in it are fixed text; the element paths in it
    bound the slots. The slot path that holds the most changing text is noted.
-3. Each page's slots are extracted: blocks in the article (or main) element, else in the
-   host's richest slot, else in the body, without what elements, roles or class names
+3. Each page's slots are extracted: blocks in the article (or main) element, else in
+   all of the body, without what elements, roles or class names
    declare to be menus, headers, footers, sidebars, notices, adverts, forms, scripts,
    styles or reader comments. Inside an article every other block is kept, though it may
    repeat on other pages; outside one, the template's fixed text is dropped.
@@ -20,9 +20,8 @@ Character references are decoded, white space in a block becomes one space, bloc
 trimmed and joined by one line break in page order.
 
 Defined cases: null and empty pages and pages without text give the empty string; broken
-and cut-off markup is read as far as it goes; null urls share the empty host; a host with
-one page has no template; rows that repeat an id an even number of times cancel out of the digests, which can only
-split classes; each is extracted;
+and cut-off markup is read as far as it goes; null urls share the empty host; a host whose
+pages all have one content has no template; equal contents of one host count once in the vectors; each page is extracted;
 null ids are carried through; an empty table gives no rows. Other columns are left out.
 """
 
@@ -173,14 +172,12 @@ def text_token(block: Block) -> str:
     return f"{block.path}#{xxhash.xxh64_hexdigest(block.text.encode('utf-8', 'surrogatepass'))}"
 
 
-def main_text(page: str | None, template: set[str] = frozenset(), slot: str | None = None) -> str:
-    """The page's main text, given its host's template tokens and richest slot."""
+def main_text(page: str | None, template: set[str] = frozenset()) -> str:
+    """The page's main text, given its host's template tokens."""
     blocks = [b for b in parse(page or "")[1] if not b.dropped]
     if any(b.within for b in blocks):
         return "\n".join(b.text for b in blocks if b.within)
-    changing = [b for b in blocks if text_token(b) not in template]
-    inside = [b for b in changing if slot and (b.path == slot or b.path.startswith(f"{slot}/"))]
-    return "\n".join(b.text for b in inside or changing)
+    return "\n".join(b.text for b in blocks if text_token(b) not in template)
 
 
 def host_of(url: Column) -> Column:
@@ -189,7 +186,8 @@ def host_of(url: Column) -> Column:
 
 def templates(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, tokens, slot): the nested valid classes of each host, and its richest slot's path."""
-    named = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(url_col, id_col).alias("page"), F.col(html_col).alias("html"))
+    named = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("page"), F.col(html_col).alias("html")).dropDuplicates(["host", "page"])
+    named = materialize(named, "contents")  # copies of one page say nothing of the template
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +210,7 @@ def templates(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url"
     rows = map_rows(named, run, T._parse_datatype_string("host string, page long, token string, parent string, n long, chars long"))
     # digest of the occurrence vector: it combines before the shuffle
     token = rows.groupBy("host", "token", "parent").agg(F.expr("bit_xor(xxhash64(page, n))").alias("digest"), F.count(F.lit(1)).alias("support"), F.sum("chars").alias("chars"))
-    size = pages.select(host_of(F.col(url_col)).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    size = named.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     common = materialize(token.join(size, "host").where("support >= 2 AND support * 2 >= pages"), "classes")  # at most twice a page's tokens for each host
     root = F.col("parent") == ""
     parents = common.select(F.col("host").alias("h"), F.col("token").alias("t"), F.col("support").alias("s"))
@@ -227,21 +225,21 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     Templates up to ``most_broadcast`` characters in all are broadcast; more are joined
     by a shuffle on the host, whose large partitions Spark can split.
     """
-    found = materialize(templates(pages, id_col=id_col, url_col=url_col, html_col=html_col), "templates").withColumnsRenamed({"host": "__host", "tokens": "__tokens", "slot": "__slot"})
+    found = materialize(templates(pages, id_col=id_col, url_col=url_col, html_col=html_col), "templates").select(F.col("host").alias("__host"), F.col("tokens").alias("__tokens"))
     chars = found.agg(F.sum(F.aggregate("__tokens", F.lit(0).cast("long"), lambda a, x: a + F.length(x) + 20))).first()[0] or 0
     if chars <= most_broadcast:
         found = F.broadcast(found)
-    joined = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("__of")).join(found, F.col("__of") == F.col("__host"), "left").select("id", "url", "html", "__of", "__tokens", "__slot")
+    joined = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("__of")).join(found, F.col("__of") == F.col("__host"), "left").select("id", "url", "html", "__of", "__tokens")
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, pages.schema[url_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         host, template = None, frozenset()
         for batch in batches:
-            texts, tokens, slots = [], batch.column(4), batch.column(5).to_pylist()
+            texts, tokens = [], batch.column(4)
             for i, (page, of) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 if of != host:
                     host, template = of, frozenset(tokens[i].as_py() or ())
-                texts.append(main_text(page, template, slots[i]))
+                texts.append(main_text(page, template))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, url_col, "text", "n_chars"])
 
     return map_rows(joined, run, schema)

@@ -70,3 +70,13 @@ def test_template_without_article(spark):
     assert t["slot"] == "/html/body/div.text" and any("div.top#" in x for x in t["tokens"])
     got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
     assert got == {i: f"Story {i} tells of thing number {i} at some length\nIt goes on {i}" for i in range(6)}
+
+
+def test_copies_and_further_slots_without_article(spark):
+    page = "<html><body><div class='top'>Welcome to the site</div><h1>Title %d</h1><div class='text'><p>Story %d tells of things</p></div><div class='more'><p>More %d</p></div></body></html>"
+    rows = [(i, f"http://h.example/{i}", page % (i, i, i)) for i in range(4)] + [(10 + i, f"http://h.example/c{i}", page % (9, 9, 9)) for i in range(4)]
+    rows += [(20 + i, f"http://two.example/{i}", page % (7, 7, 7)) for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, k in [*((i, i) for i in range(4)), *((10 + i, 9) for i in range(4))]:
+        assert got[i] == f"Title {k}\nStory {k} tells of things\nMore {k}"
+    assert all(got[20 + i].endswith("Title 7\nStory 7 tells of things\nMore 7") for i in range(2))
