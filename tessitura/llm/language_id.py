@@ -34,15 +34,12 @@ WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 #: Words whose backoff is remembered at once, in one Python worker.
 REMEMBERED = 100_000
-#: Longer words are scored by the n-grams of this many first and last letters.
-LONG_WORD = 400
 
 
-def grams(word: str, n: int) -> list[str]:
-    if len(word) > 2 * LONG_WORD:
-        return grams(word[:LONG_WORD], n) + grams(word[-LONG_WORD:], n)
+def grams(word: str, n: int) -> Iterator[str]:
+    """Every n-gram of the whole word, one at a time, so that a long word makes no long list."""
     marked = f"<{word}>" if n > 1 else word
-    return [marked[i : i + n] for i in range(len(marked) - n + 1)]
+    return (marked[i : i + n] for i in range(len(marked) - n + 1))
 
 
 class Model:
@@ -63,9 +60,10 @@ class Model:
     def backoff(self, word: str) -> np.ndarray:
         for n in ORDERS:
             index = self.index[n]
-            known = [index[g] for g in grams(word, n) if g in index]
+            known = Counter(index[g] for g in grams(word, n) if g in index)  # at most as many as the model has
             if known:
-                return self.rows[known].mean(axis=0)
+                k = np.fromiter(known.values(), np.float64, len(known))
+                return k @ self.rows[list(known)] / k.sum()
         return np.zeros(len(self.languages), np.float32)
 
 

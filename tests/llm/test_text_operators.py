@@ -366,3 +366,9 @@ def test_near_copies_by_shingles(spark):
     out = corpus_pipeline.simhash_stage(spark, docs(spark, rows), "")
     assert {r["doc_id"] for r in out.collect()} == set(want.values()) and out.columns == docs(spark, []).columns
     assert corpus_pipeline.simhash_stage(spark, docs(spark, []), "").count() == 0
+
+
+def test_long_word_is_read_whole():
+    model = language_id.Model(["a", "b"], {(1, "x"): {"a": 50}, (1, "y"): {"b": 50}}, {(n, x): 50 for n in (0, *language_id.ORDERS) for x in "ab"})
+    assert language_id.Scorer(model).predict("x" * 500 + "y" * 19_000 + "x" * 500)[0] == "b"
+    assert language_id.Scorer(model).predict("y" * 500 + "x" * 19_000 + "y" * 500)[0] == "a"
