@@ -1,27 +1,35 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text.
 
-Both models are document frequencies of hashed features: words (lower-cased, between
-ASCII white space), their first four and last two bytes, and the tenth into which the share of a
-document's word 4-grams that repeat earlier ones falls. A feature has a bucket in each of
-two tables, and counts as the less telling of the two: of the thousands of features of a
-long clean text some share a bucket with a telling one by chance, but hardly any in both
-tables. *Target* is a bounded sample of
-labelled good documents, *raw* all documents. A feature's log ratio compares its target
-count with the count expected at its raw frequency, both raised by ``prior``; ratios
-near or above one count 0 (how near is chosen on the sample), so that neither noise nor
-long clean text can outvote a few plain signs. A document's log weight is the sum over its
-features.
+Both models are multinomials over hashed n-grams, every occurrence counted: words
+(lower-cased, between ASCII white space), pairs of neighbouring words, the first four bytes
+and the last two bytes of each word. Each of the four kinds has 2**BITS buckets of its own.
+*Target* is learned from four fifths of a bounded sample of labelled documents, those that
+are good; *raw* from all documents. A bucket's log ratio is
 
-Selection is by Gumbel top-k: log weight plus ``temperature`` times a Gumbel variable
-seeded by a hash of the id, the k largest. k is the number of documents whose weight
-reaches the cut that separates good from bad sampled labels best; the k-th largest value
-is found by counting, without collecting or sorting all of them.
+    log((t + prior) / (r * T / R + prior))
+
+with its counts t and r and its kind's totals T and R: ``prior`` occurrences are added to
+what is seen in target text and to what raw text makes one expect, so that a rare n-gram
+says little. Ratios are neither cut nor clipped.
+
+A text is resampled whole, so it is worth no more than its worst passage: its log weight is
+the smallest sum of log ratios over ``passage`` consecutive words (all of them in a shorter
+text). Without passages, long clean text outvotes any few bad words in it, and a mean over
+the text dilutes them.
 
-Defined cases: null and empty texts have no word and weight of their repeat feature; no
-labels, or labels of one kind only, keep everything; a document is labelled by its lowest
+Selection is by Gumbel top-k: log weight plus ``temperature`` times a Gumbel variable
+seeded by a hash of the id, the k largest. At temperature 1 that samples k documents
+without replacement in proportion to their weights. k is the number of documents whose
+weight reaches the cut that separates the rest of the labelled sample, which the target
+model has not seen, best among those that keep ``keep_good`` of its good documents. The
+k-th largest value is found by counting, without collecting or sorting all of them.
+
+Defined cases: null and empty texts have no word and weight 0; no labels, or labels of one
+kind only, keep everything; a document is labelled by its lowest
 quality and highest toxicity, null labels are ignored; documents that tie with the k-th
 all stay; rows that repeat an id draw the same variable; a null id draws as the empty
-string; an empty table gives no rows. ``select`` keeps all columns.
+string; an empty table gives no rows. ``select`` keeps all columns but one named as
+``weight_col``, which it replaces; ``weights`` returns ids and weights alone.
 """
 
 from __future__ import annotations
@@ -36,49 +44,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_BASE, WORD_BASE, Rolling, chunks, find_words, map_rows, materialize, mix
+from .common import BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize, mix
 
-BITS = 20
+BITS, KINDS = 18, 4
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-PREFIX_BYTES, TAIL_BYTES, REPEAT_WORDS = 4, 2, 4
+HEAD_BYTES, TAIL_BYTES = 4, 2
+#: Words of a passage.
+PASSAGE = 10
 
 
 class Features:
-    """Distinct hashed features of documents."""
+    """Hashed n-grams of documents, by the word at which they stand."""
 
     def __init__(self, bits: int = BITS):
-        self.shift, self.bits = np.uint64(64 - 2 * bits), bits
-        self.by_byte, self.by_word = Rolling(BYTE_BASE), Rolling(WORD_BASE)
+        self.shift, self.bits, self.by_byte = np.uint64(64 - bits), bits, Rolling(BYTE_BASE)
 
-    def of(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(document, bucket in the first table, in the second) of each distinct feature, some documents at a time."""
+    def of(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first document, words of each, a row of buckets for each kind, words that have a next one), some documents at a time."""
         for first, part in chunks([(t or "").lower() for t in texts]):
             data, starts, ends, per_text = find_words(part, IS_WORD)
-            n = len(part)
-            doc = np.repeat(np.arange(n), per_text)
             prefix = self.by_byte.prefix(data.astype(np.uint64) + np.uint64(1))
-            words = self.by_byte.slices(prefix, starts, ends)
-            long = np.flatnonzero(ends - starts > PREFIX_BYTES)
-            heads = mix(self.by_byte.slices(prefix, starts[long], starts[long] + PREFIX_BYTES) + np.uint64(1))
-            tailed = np.flatnonzero(ends - starts > TAIL_BYTES)
-            tails = mix(self.by_byte.slices(prefix, ends[tailed] - TAIL_BYTES, ends[tailed]) + np.uint64(2))
-            repeated = mix(self.repeats(words, doc, n).astype(np.uint64) + np.uint64(0x51ED270B))
-            hashes = np.concatenate([words, heads, tails, repeated]) >> self.shift
-            key = np.unique((np.concatenate([doc, doc[long], doc[tailed], np.arange(n)]).astype(np.int64) << (2 * self.bits)) | hashes.astype(np.int64))
-            size = 1 << self.bits
-            yield first + (key >> (2 * self.bits)), (key >> self.bits) & (size - 1), size + (key & (size - 1))
-
-    def repeats(self, words: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-        """Of each document: the tenth of its word 4-grams' share that repeat."""
-        at = np.arange(max(0, len(words) - REPEAT_WORDS + 1))
-        at = at[doc[at] == doc[at + REPEAT_WORDS - 1]] if len(at) else at
-        grams = self.by_word.slices(self.by_word.prefix(words), at, at + REPEAT_WORDS)
-        of = doc[at]
-        all_of = np.bincount(of, minlength=n)
-        _, first = np.unique(mix(grams + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
-        new = np.bincount(of[first], minlength=n)
-        return np.where(all_of > 0, (all_of - new) * 10 // np.maximum(all_of, 1), 0)
+            word = self.by_byte.slices(prefix, starts, ends)
+            head = self.by_byte.slices(prefix, starts, np.minimum(ends, starts + HEAD_BYTES))
+            tail = self.by_byte.slices(prefix, np.maximum(starts, ends - TAIL_BYTES), ends)
+            has_next = np.ones(len(word), bool)
+            has_next[np.cumsum(per_text)[per_text > 0] - 1] = False
+            pair = mix(word * np.uint64(3) + np.roll(word, -1))
+            hashes = np.stack([word, pair, mix(head + np.uint64(1)), mix(tail + np.uint64(2))]) >> self.shift
+            yield first, per_text, hashes.astype(np.int64) + (np.arange(KINDS, dtype=np.int64)[:, None] << self.bits), has_next
+
+
+def worst_passages(ratio: np.ndarray, per_text: np.ndarray, buckets: np.ndarray, has_next: np.ndarray, passage: int) -> np.ndarray:
+    """Of each document: the smallest sum of log ratios over ``passage`` consecutive words."""
+    by_word = ratio[buckets[0]].astype(np.float64) + np.where(has_next, ratio[buckets[1]], 0) + ratio[buckets[2]] + ratio[buckets[3]]
+    total = np.concatenate(([0.0], np.cumsum(by_word)))
+    stop = np.cumsum(per_text)
+    doc = np.repeat(np.arange(len(per_text)), per_text)
+    at = np.arange(len(by_word))
+    whole = np.flatnonzero((at + passage <= stop[doc]) | (at == (stop - per_text)[doc]))
+    out = np.where(per_text > 0, np.inf, 0.0)
+    np.minimum.at(out, doc[whole], total[np.minimum(whole + passage, stop[doc[whole]])] - total[whole])
+    return out
 
 
 @dataclass
@@ -89,94 +96,81 @@ class Model:
     cut: float
 
 
-def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> tuple[np.ndarray, int]:
-    """(document frequency of each bucket, number of documents).
+def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> np.ndarray:
+    """Occurrences of each bucket; the kinds follow each other.
 
-    Buckets of the second table follow those of the first. A task sends its non-zero
-    buckets only; the sum has at most 2 * 2**bits rows.
+    A task sends its non-zero buckets only; the sum has at most KINDS * 2**bits rows, and
+    the driver gets two numbers for each.
     """
+    size = KINDS << bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, total, rows = Features(bits), np.zeros(2 << bits, np.int64), 0
+        features, total = Features(bits), np.zeros(size, np.int64)
         for batch in batches:
-            rows += batch.num_rows
-            for _, one, two in features.of(batch.column(0).to_pylist()):
-                total += np.bincount(np.concatenate([one, two]), minlength=2 << bits)
+            for _, _, buckets, has_next in features.of(batch.column(0).to_pylist()):
+                total += np.bincount(np.concatenate([buckets[0], buckets[1][has_next], buckets[2], buckets[3]]), minlength=size)
         at = np.flatnonzero(total)
         for a in range(0, len(at), 1 << 16):
             some = at[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([rows], pa.int64())], names=["bucket", "n"])
 
-    summed = map_rows(texts.select(text_col), run, T._parse_datatype_string("bucket int, n long")).groupBy("bucket").agg(F.sum("n").alias("n"))
-    # as Arrow, so that the driver gets two numbers a bucket and no row objects
-    out, rows = np.zeros(2 << bits, np.float64), 0
-    table = summed.toArrow()
-    bucket, n = table.column("bucket").to_numpy(), table.column("n").to_numpy()
-    for b in np.flatnonzero(bucket < 0):
-        rows += int(n[b])
-    out[bucket[bucket >= 0]] = n[bucket >= 0]
-    return out, rows
+    table = map_rows(texts.select(text_col), run, T._parse_datatype_string("bucket int, n long")).groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, np.float64)
+    out[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+    return out
 
 
-def weigh(documents: DataFrame, ratios: dict[str, np.ndarray], text_col: str) -> DataFrame:
-    """The documents, all columns, and their log weight by each named table of ratios.
+def log_ratios(target: np.ndarray, raw: np.ndarray, prior: float) -> np.ndarray:
+    """Smoothed log ratio of each bucket; each kind is a distribution of its own."""
+    t, r = target.reshape(KINDS, -1), raw.reshape(KINDS, -1)
+    scale = t.sum(axis=1, keepdims=True) / np.maximum(1, r.sum(axis=1, keepdims=True))
+    return np.log((t + prior) / (r * scale + prior)).reshape(-1).astype(np.float32)
 
-    The tables are broadcast: 2 * 2**BITS floats each.
-    """
-    shared = documents.sparkSession.sparkContext.broadcast(ratios)
-    schema = T.StructType([*documents.schema.fields, *(T.StructField(name, T.DoubleType()) for name in ratios)])
+
+def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, weight_col: str, passage: int = PASSAGE) -> DataFrame:
+    """The documents, all columns, and their log weight. The ratios are broadcast: KINDS * 2**BITS floats."""
+    shared = documents.sparkSession.sparkContext.broadcast(ratio)
+    schema = T.StructType([*documents.schema.fields, T.StructField(weight_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
-        features = Features(int(math.log2(len(next(iter(tables.values()))))) - 1)
+        table = shared.value
+        features = Features(int(math.log2(len(table) // KINDS)))
         for batch in batches:
-            total = {name: np.zeros(batch.num_rows) for name in tables}
-            for doc, one, two in features.of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
-                for name, ratio in tables.items():
-                    total[name] += np.bincount(doc, weights=np.maximum(ratio[one], ratio[two]), minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, total.values())], names=[*batch.schema.names, *total])
+            weight = np.zeros(batch.num_rows)
+            for first, per_text, buckets, has_next in features.of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
+                weight[first : first + len(per_text)] = worst_passages(table, per_text, buckets, has_next, passage)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], names=[*batch.schema.names, weight_col])
 
     return map_rows(documents, run, schema)
 
 
-def best_cut(good: np.ndarray, bad: np.ndarray) -> tuple[float, float]:
-    """(twice the balanced accuracy, cut) of the best cut between two observed weights; of equals the lowest."""
+def best_cut(good: np.ndarray, bad: np.ndarray, keep_good: float) -> float:
+    """The cut between observed weights that loses most bad and fewest good ones, of those that keep ``keep_good`` of the good."""
     if not len(good) or not len(bad):
-        return 1.0, -math.inf
+        return -math.inf
     values = np.unique(np.concatenate([good, bad]))
     cuts = np.concatenate([[-math.inf], (values[1:] + values[:-1]) / 2])
     kept_good = 1 - np.searchsorted(np.sort(good), cuts) / len(good)
     lost_bad = np.searchsorted(np.sort(bad), cuts) / len(bad)
-    best = np.argmax(kept_good + lost_bad)
-    return float(kept_good[best] + lost_bad[best]), float(cuts[best])
+    return float(cuts[np.argmax(np.where(kept_good >= keep_good, kept_good + lost_bad, -1))])
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 5.0, zones: tuple[float, ...] = (-1.0, -1.3, -1.6)) -> Model:
-    """A model from about ``most_labels`` labelled documents, chosen by a hash of their id, and all documents.
-
-    Log ratios over a zone's limit count 0; of ``zones`` the one that separates the sample best is taken.
-    """
+def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 1.0, passage: int = PASSAGE, keep_good: float = 0.985) -> Model:
+    """A model from about ``most_labels`` labelled documents, chosen by a hash of their id, and all documents."""
     known = labels.select(F.col(label_id_col).alias("__of"), F.col(quality_col).alias("q"), F.col(toxic_col).alias("t")).where("__of IS NOT NULL AND (q IS NOT NULL OR t IS NOT NULL)")
     known = known.groupBy("__of").agg(((F.coalesce(F.min("q"), F.lit(1)) > 0) & (F.coalesce(F.max("t"), F.lit(0)) < 1)).alias("good"))
     number = known.count()
     share = min(1_000_000, math.ceil(1e6 * most_labels / max(1, number)))
-    known = known.where(F.pmod(F.xxhash64("__of"), F.lit(1_000_000)) < share)
-    sample = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("__of")).select("text", "good")  # about most_labels rows of two numbers
-    target, targets = frequencies(sample.where("good"), "text")
-    raw, rows = frequencies(documents, text_col)
-    if not targets:
-        return Model(np.zeros(len(raw), np.float32), -math.inf)
-    ratio = np.log((target + prior) / (raw * (targets / max(1, rows)) + prior)).astype(np.float32)
-    tables = {f"w{i}": np.where(ratio > zone, 0, ratio).astype(np.float32) for i, zone in enumerate(zones)}
-    scored = weigh(sample, tables, "text").select("good", *tables).toArrow()  # about most_labels rows
-    good = scored.column("good").to_numpy()
-    found = []
-    for name in tables:
-        weight = scored.column(name).to_numpy()
-        found.append((*best_cut(weight[good], weight[~good]), name))
-    score, cut, name = max(found, key=lambda f: f[0])
-    return Model(tables[name], cut)
+    known = known.where(F.pmod(F.xxhash64("__of"), F.lit(1_000_000)) < share).withColumn("unseen", F.pmod(F.xxhash64(F.lit("cut"), "__of"), F.lit(5)) == 0)
+    sample = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("__of")).select("text", "good", "unseen")  # about most_labels rows of three numbers
+    sample = materialize(sample, "labelled")
+    target = frequencies(sample.where("good AND NOT unseen"), "text")
+    if not target.any():
+        return Model(np.zeros(len(target), np.float32), -math.inf)
+    ratio = log_ratios(target, frequencies(documents, text_col), prior)
+    scored = weigh(sample.where("unseen"), ratio, "text", "w", passage).select("good", "w").toArrow()  # a fifth of most_labels rows
+    good, weight = scored.column("good").to_numpy(), scored.column("w").to_numpy()
+    return Model(ratio, best_cut(weight[good], weight[~good], keep_good))
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
@@ -204,11 +198,22 @@ def gumbel(id_col: str, seed: int) -> F.Column:
     return -F.log(-F.log(u))
 
 
-def select(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 0.02, seed: int = 7, weight_col: str = "log_weight", **options) -> DataFrame:
+def _sampled(weighed: DataFrame, cut: float, id_col: str, weight_col: str, temperature: float, seed: int) -> DataFrame:
+    """Of a written table of weighed rows: the k largest by weight and noise."""
+    k = weighed.where(F.col(weight_col) >= cut).count()
+    value = F.col(weight_col) + temperature * gumbel(id_col, seed)
+    return weighed.where(value >= kth_largest(weighed.select(value.alias("value")), "value", k)) if k else weighed.limit(0)
+
+
+def select(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, weight_col: str = "log_weight", passage: int = PASSAGE, **options) -> DataFrame:
     """The documents that importance resampling keeps, all columns, and their log weight."""
-    model = fit(documents, labels, id_col=id_col, text_col=text_col, **options)
-    value = (F.col(weight_col) + temperature * gumbel(id_col, seed)).alias("value")
-    weighed = weigh(documents.drop(weight_col), {weight_col: model.ratio}, text_col)
-    values = materialize(weigh(documents.select(id_col, text_col), {weight_col: model.ratio}, text_col).select(weight_col, value), "weights")
-    k = values.where(F.col(weight_col) >= model.cut).count()
-    return weighed.where(value >= kth_largest(values, "value", k)) if k else weighed.limit(0)
+    model = fit(documents, labels, id_col=id_col, text_col=text_col, passage=passage, **options)
+    weighed = materialize(weigh(documents.drop(weight_col), model.ratio, text_col, weight_col, passage), "weighed")
+    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed)
+
+
+def weights(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, weight_col: str = "log_weight", passage: int = PASSAGE, **options) -> DataFrame:
+    """(id, log weight) of the documents that importance resampling keeps; texts are not written."""
+    model = fit(documents, labels, id_col=id_col, text_col=text_col, passage=passage, **options)
+    weighed = materialize(weigh(documents.select(id_col, text_col), model.ratio, text_col, weight_col, passage).select(id_col, weight_col), "weights")
+    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed)

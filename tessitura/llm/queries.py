@@ -104,7 +104,7 @@ SELECT d.*, e.copy, ('0x' || substr(md5('17|' || d.doc_id || '|' || e.copy || '|
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.select(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")).select("doc_id", "log_weight")
+    return quality.weights(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

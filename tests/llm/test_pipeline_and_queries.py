@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from test_text_operators import brute_components, brute_fingerprint, brute_lines, brute_windows, plain
+from test_text_operators import brute_components, brute_lines, brute_shingles, brute_windows, plain
 
 from tessitura.llm import queries as q
 
@@ -49,15 +49,16 @@ def test_pipeline(spark):
         kept = {r["doc_id"] for r in after}
         assert kept <= set(before)
         if name == "quality":
-            bad = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 AND toxic = 0").collect()}
-            assert len(bad & kept) >= 0.95 * len(bad & set(before))
+            good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 AND toxic = 0").collect()}
+            assert len(good & kept) >= 0.9 * len(good & set(before))  # about 60 good labels: their fifth sets the cut
         elif name == "line_dedup":
             want = brute_lines([(i, r["text"]) for i, r in before.items()], 50)
             assert {r["doc_id"]: r["text"] for r in after} == {i: t for i, (gone, t) in want.items() if not gone or t.strip()}
             assert all(r["n_chars"] == len(r["text"]) for r in after)
         elif name == "simhash":
-            fp = {i: brute_fingerprint(r["text"]) for i, r in before.items()}
-            assert kept == set(brute_components(sorted(fp), lambda a, b: (fp[a] ^ fp[b]).bit_count() <= 2).values())
+            shingles = {i: brute_shingles(r["text"]) for i, r in before.items()}
+            alike = lambda a, b: shingles[a] == shingles[b] or 5 * len(shingles[a] & shingles[b]) >= 4 * len(shingles[a] | shingles[b])
+            assert kept == set(brute_components(sorted(shingles), alike).values())
         elif name == "decontaminate":
             wins = set().union(*brute_windows([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]).values())
             sizes = {len(w) for w in wins}

@@ -1,6 +1,7 @@
 """Operators on documents against brute-force versions, with nulls, ties, repeats and odd texts."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -238,13 +239,59 @@ def labelled(spark):
 def test_quality(spark):
     rows, labels = labelled(spark)
     out = quality.select(docs(spark, rows), labels)
+    assert out.columns == [*docs(spark, []).columns, "log_weight"]
     kept = {r["doc_id"] for r in out.select("doc_id").collect()}
-    good = {i for i, _ in rows if i % 10 not in (1, 2, 3)}
-    assert good <= kept and len(kept - good) == 0
-    odd = docs(spark, [*rows, (5000, None), (5001, ""), (None, "word1"), (5002, "word2 " * 20_000)])
-    assert quality.select(odd, labels.union(spark.createDataFrame([(None, 1, 0), (3, None, None), (4, None, 1)], labels.schema))).count() > 0
+    assert {r["doc_id"] for r in quality.weights(docs(spark, rows), labels).collect()} == kept
+    good, junk, toxic = ({i for i, _ in rows if i % 10 in kinds} for kinds in ((0, *range(4, 10)), (1, 2), (3,)))
+    assert len(good & kept) >= 0.97 * len(good) and len(junk & kept) <= 0.05 * len(junk) and len(toxic & kept) <= 0.25 * len(toxic)
+    odd = docs(spark, [*rows, (5000, None), (5001, ""), (None, "word1"), (5002, "word2 " * 20_000), (7, rows[7][1])])
+    more = labels.union(spark.createDataFrame([(None, 1, 0), (3, None, None), (4, None, 1)], labels.schema))
+    found = Counter(r["doc_id"] for r in quality.select(odd, more).collect())
+    assert found[5000] == found[5001] == 1 and found[7] == 2
     assert quality.select(docs(spark, rows), labels.limit(0)).count() == len(rows)
     assert quality.select(docs(spark, []), labels).count() == 0
+    clash = docs(spark, rows).withColumnRenamed("key", "log_weight")
+    assert quality.select(clash, labels).schema["log_weight"].dataType.typeName() == "double"
+
+
+def brute_grams(text):
+    """Per word: its n-grams as (kind, value), spelled out."""
+    w = (text or "").lower().split()
+    return [[(0, x), *([(1, (x, w[k + 1]))] if k + 1 < len(w) else []), (2, x[:4]), (3, x[-2:])] for k, x in enumerate(w)]
+
+
+def test_quality_weights_by_hand(spark):
+    """The weights against counts of spelled-out n-grams, without hashing."""
+    rng = random.Random(12)
+    words = [f"a{k}" for k in range(8)]  # so few that no two n-grams share a bucket
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(40)))) for i in range(60)] + [(70, None), (71, " ")]
+    target = docs(spark, [r for r in rows if r[0] % 3 == 0])
+    ratio = quality.log_ratios(quality.frequencies(target, "text"), quality.frequencies(docs(spark, rows), "text"), 1.0)
+    t, r = Counter(), Counter()
+    for i, text in rows:
+        found = [g for at in brute_grams(text) for g in at]
+        r.update(found)
+        t.update(found if i % 3 == 0 else [])
+    total = lambda c, kind: sum(n for (k, _), n in c.items() if k == kind)
+    scale = [total(t, k) / total(r, k) for k in range(4)]
+    log_ratio = {g: np.log((t[g] + 1) / (r[g] * scale[g[0]] + 1)) for g in r}
+    for row in quality.weigh(docs(spark, rows), ratio, "text", "w", 10).collect():
+        by_word = [sum(log_ratio[g] for g in at) for at in brute_grams(dict(rows)[row["doc_id"]])]
+        want = min((sum(by_word[k : k + 10]) for k in range(max(1, len(by_word) - 9))), default=0)
+        assert abs(row["w"] - want) < 1e-4
+
+
+def test_quality_samples_by_weight(spark):
+    """Gumbel top-k at temperature 1: of equal weights any may stay, and the odds follow the weights."""
+    weighed = spark.createDataFrame([(i, math.log(3) if i % 2 else 0.0) for i in range(20_000)], "doc_id long, w double")
+    low = weighed.where("w = 0").count()
+    kept = [{r["doc_id"] for r in quality._sampled(weighed.withColumn("w", F.col("w") + F.when(F.col("doc_id") < 2000, 0).otherwise(-50)), 0.0, "doc_id", "w", 1.0, seed).collect()} for seed in (1, 2)]
+    assert low == 10_000 and all(len(k) == 2000 for k in kept)
+    # k is half of those that compete: the first draw takes odd ones three times as often
+    half = weighed.where("doc_id < 2000").withColumn("extra", F.lit(1))
+    first = [quality.kth_largest(half.select((F.col("w") + quality.gumbel("doc_id", seed)).alias("v")), "v", 200) for seed in (1, 2)]
+    chosen = [{r["doc_id"] for r in half.where(F.col("w") + quality.gumbel("doc_id", seed) >= cut).collect()} for seed, cut in zip((1, 2), first, strict=True)]
+    assert chosen[0] != chosen[1] and all(130 <= sum(i % 2 for i in c) <= 170 for c in chosen)
 
 
 def test_kth_largest(spark):
@@ -341,6 +388,11 @@ def test_poisson_draws(spark):
         assert np.allclose(r["c"], np.cumsum(pmf)) and abs(r["c"][-1] - 1) < 1e-12
 
 
+def brute_shingles(t):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+    return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+
+
 def test_near_copies_by_shingles(spark):
     """The pipeline's near-duplicate stage against all pairs of 5-word shingle sets."""
     import corpus_pipeline
@@ -356,11 +408,7 @@ def test_near_copies_by_shingles(spark):
         rows.append((i, rng.choice([" ", "\n"]).join(w + tail * (i % 2))))
     rows += [(200, None), (201, ""), (202, " \t"), (203, "one"), (204, "one two"), (205, "ONE two"), (205, "ONE two"), (206, " ".join(tail))]
 
-    def shingles(t):
-        w = (t or "").lower().split()
-        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
-
-    s = {i: shingles(t) for i, t in rows}
+    s = {i: brute_shingles(t) for i, t in rows}
     want = brute_components(sorted(s), lambda a, b: s[a] == s[b] or 5 * len(s[a] & s[b]) >= 4 * len(s[a] | s[b]))
     assert 12 < len(set(want.values())) < 100
     out = corpus_pipeline.simhash_stage(spark, docs(spark, rows), "")
