@@ -1,28 +1,33 @@
 """Main text of web pages by equivalence-class template deduction.
 
-1. Every page becomes tokens: the path of each element (tag names with their classes), and
-   under each path its blocks of text. A token's occurrence vector says how often it
-   stands on each of the host's pages. Vectors are not gathered: their digest, the XOR over
-   pages of a hash of page and count, is summed up natively before the shuffle, so a host
-   with a third of all pages is no larger a group than any other.
-2. Tokens of one host with the same digest form an equivalence class. Classes on at least
-   half of the host's pages (and two) are kept; a class is valid as far as its tokens nest,
-   that is, their parents' paths are in the template too. Valid classes nested into each
-   other are the host's template; text tokens in it are fixed text; the element paths in it
-   bound the slots. The slot path that holds the most changing text is noted.
-3. Each page's slots are extracted: blocks in the article (or main) element, else in
-   all of the body, without what elements, roles or class names
-   declare to be menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-   styles or reader comments. Inside an article every other block is kept, though it may
-   repeat on other pages; outside one, the template's fixed text is dropped.
+1. Every page becomes tokens: the path of each element (tag names with all their classes),
+   and each text block under its path. A token's occurrence vector says how often it stands
+   on each of the host's pages. Vectors are not gathered: their digest, two sums over pages of
+   hashes of page and count, is added up natively before the shuffle, so a host with a third
+   of all pages is no larger a group than any other. Equal contents of a host count once.
+2. Tokens of a host with the same digest are an equivalence class; classes on at least half
+   of the host's pages (and ``least_pages``) are frequent. A class is valid as far as
+   it nests: it holds a text's own element path too, so that the text comes and goes with a
+   piece of page structure. Paths nest by their making, so the valid frequent classes nest into the host's template: element paths,
+   the fixed texts of valid classes, and the *fixed paths*, on which every block is a text
+   of half of the pages.
+3. Text between template tokens fills its slots; each page's remaining slots are extracted.
+   Inside an ``article`` or ``main`` element only fixed paths are template, and only through a
+   further ``div``, ``section`` or ``span``, for a sentence or a heading
+   that many articles share is text all the same; elsewhere fixed texts are as well. What remains
+   also loses the elements that their tag, role or classes declare to be menus, headers,
+   footers, sidebars, notices, adverts, forms, scripts, styles or reader comments; a class
+   counts if all of its parts are such words or neutral ones. If ``article`` and ``main`` elements hold
+   half of the remaining characters or more, the page's text is theirs; otherwise all of it.
 
 Character references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined by one line break in page order.
 
 Defined cases: null and empty pages and pages without text give the empty string; broken
-and cut-off markup is read as far as it goes; null urls share the empty host; a host whose
-pages all have one content has no template; equal contents of one host count once in the vectors; each page is extracted;
-null ids are carried through; an empty table gives no rows. Other columns are left out.
+and cut-off markup is read as far as it goes; null urls share the empty host; a host with
+fewer than ``least_pages`` different pages has no template; each page is extracted; null ids
+are carried through and rows that repeat an id are extracted one by one; an empty table gives
+no rows. Other columns are left out.
 """
 
 from __future__ import annotations
@@ -40,8 +45,9 @@ from pyspark.sql import types as T
 
 from .common import map_rows, materialize
 
-TAG = re.compile(r"<!--(?s:.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']*+(?:\"[^\"]*+\"|'[^']*+'))*+[^>\"']*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|</[^>]*(?:>|\Z)")
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: A comment, a declaration, a start or end tag (quotes count only after "="), or a tag cut off.
+TAG = re.compile(r"<!--(?s:.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)|</[^>]*(?:>|\Z)")
+ATTRIBUTE = re.compile(r"([^\s=>/\"'][^\s=>/]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 # Element names and class words of the HTML standard and of common use.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,8 +58,12 @@ CLOSES_P = BLOCKS - {"html", "body", "caption", "tbody", "tfoot", "thead", "tr",
 DROPPED = frozenset("aside button canvas datalist dialog embed footer form head iframe input menu nav noscript object script search select style svg template textarea title audio video".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 DROPPED_CLASSES = frozenset("ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookiebar cookies disqus footer form gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices popup promo promoted promotion replies reply respond share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar topbar widget".split())
+NEUTRAL_PARTS = frozenset("area bar block box bottom bottoms center col column container content footer global group header holder inner item left link links list main message outer page panel right row section site slot text top unit wrap wrapper zone".split())
 NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
 CONTAINERS = frozenset(("article", "main"))
+GENERIC = frozenset(("div", "section", "span"))
+#: Where a block stands: outside containers, in one, in a generic element of one.
+OUTSIDE, INSIDE, BOXED = range(3)
 
 
 def is_dropped(tag: str, attributes: str) -> bool:
@@ -68,26 +78,33 @@ def is_dropped(tag: str, attributes: str) -> bool:
             return True
         if name in ("class", "id"):
             for word in value.split():
-                parts = re.split(r"[-_]+", word)
-                if parts[0] not in ("no", "has", "with", "without", "is") and (parts[0] in DROPPED_CLASSES or parts[-1] in DROPPED_CLASSES):
+                parts = [p for p in re.split(r"[-_\d]+", word) if p]
+                if any(p in DROPPED_CLASSES for p in parts) and all(p in DROPPED_CLASSES or p in NEUTRAL_PARTS for p in parts):
                     return True
     return False
 
 
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 class Block:
     """Text of one block: where it stands, and what stands around it."""
 
     __slots__ = ("dropped", "path", "text", "within")
 
-    def __init__(self, path: str, text: str, within: bool, dropped: bool):
+    def __init__(self, path: int, text: str, within: int, dropped: bool):
         self.path, self.text, self.within, self.dropped = path, text, within, dropped
 
 
 def parse(page: str) -> tuple[Counter, list[Block]]:
-    """(how often each element path occurs, blocks of text in page order)."""
+    """(how often each element path occurs, blocks of text in page order).
+
+    A path's name is a hash of its last element and of the name of what is above it.
+    """
     paths: Counter = Counter()
     blocks: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, inside a container, dropped
+    stack: list[tuple[str, int, int, bool]] = []  # tag, path, where, dropped
     inline: list[str] = []
 
     def flush() -> None:
@@ -96,8 +113,8 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
             inline.clear()
             if text:
                 at = next((s for s in reversed(stack) if s[0] in BLOCKS), None)
-                top = stack[-1] if stack else ("", "", False, False)
-                blocks.append(Block(at[1] if at else "", text, top[2], top[3]))
+                top = stack[-1] if stack else ("", 0, OUTSIDE, False)
+                blocks.append(Block(at[1] if at else 0, text, top[2], top[3]))
 
     def close_to(depth: int) -> None:
         if any(s[0] in BLOCKS or s[3] for s in stack[depth:]):
@@ -113,10 +130,10 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
         if m.start() > pos:
             inline.append(entities.unescape(page[pos : m.start()]))
         pos = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
-        if m[1] or m[4]:
+        if m[1]:
             if tag in BLOCKS:
                 flush()
             for depth in range(len(stack) - 1, -1, -1):
@@ -128,7 +145,7 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
             if tag in CELLS:
                 inline.append(" ")
             continue
-        attributes = m[3] if m[2] else m[6]
+        attributes = m[3]
         if tag in BLOCKS:
             flush()
             if tag in CLOSES_P:
@@ -148,12 +165,12 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
                         break
         elif tag in CELLS:
             inline.append(" ")
-        parent = stack[-1] if stack else ("", "", False, False)
+        parent = stack[-1] if stack else ("", 0, OUTSIDE, False)
         dropped = parent[3] or is_dropped(tag, attributes) or (tag == "header" and not parent[2])
         if dropped and not parent[3] and tag not in VOID:
             flush()
-        classes = next((v for n, a, b, c in ATTRIBUTE.findall(attributes) if n.lower() == "class" for v in [" ".join((a or b or c).split()[:3])]), "") if attributes else ""
-        path = f"{parent[1]}/{tag}" + (f".{classes}" if classes else "")
+        classes = " ".join(sorted({w for n, *v in ATTRIBUTE.findall(attributes) if n.lower() == "class" for w in "".join(v).split()})) if attributes else ""
+        path = signed(xxhash.xxh64_intdigest(f"{tag} {classes}".encode("utf-8", "surrogatepass"), parent[1] & (1 << 64) - 1))
         paths[path] += 1
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(page, pos)
@@ -163,83 +180,97 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
                 pos = gt + 1 if gt >= 0 else end
             continue
         if tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "path")):
-            stack.append((tag, path, parent[2] or tag in CONTAINERS, dropped))
+            stack.append((tag, path, INSIDE if tag in CONTAINERS else BOXED if parent[2] and tag in GENERIC else parent[2], dropped))
     flush()
     return paths, blocks
 
 
-def text_token(block: Block) -> str:
-    return f"{block.path}#{xxhash.xxh64_hexdigest(block.text.encode('utf-8', 'surrogatepass'))}"
+def text_token(block: Block) -> int:
+    return signed(xxhash.xxh64_intdigest(block.text.encode("utf-8", "surrogatepass"), (block.path + 1) & (1 << 64) - 1))
 
 
-def main_text(page: str | None, template: set[str] = frozenset()) -> str:
-    """The page's main text, given its host's template tokens."""
-    blocks = [b for b in parse(page or "")[1] if not b.dropped]
-    if any(b.within for b in blocks):
-        return "\n".join(b.text for b in blocks if b.within)
-    return "\n".join(b.text for b in blocks if text_token(b) not in template)
+def main_text(page: str | None, texts: frozenset[int] = frozenset(), paths: frozenset[int] = frozenset()) -> str:
+    """The page's main text, given its host's fixed texts and fixed paths."""
+    fixed = lambda b: b.within != INSIDE and (b.within == OUTSIDE or b.path in paths) and text_token(b) in texts
+    blocks = [b for b in parse(page or "")[1] if not b.dropped and not fixed(b)]
+    inside = [b for b in blocks if b.within]
+    if 2 * sum(len(b.text) for b in inside) >= sum(len(b.text) for b in blocks):
+        blocks = inside
+    return "\n".join(b.text for b in blocks)
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def templates(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, tokens, slot): the nested valid classes of each host, and its richest slot's path."""
-    named = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("page"), F.col(html_col).alias("html")).dropDuplicates(["host", "page"])
-    named = materialize(named, "contents")  # copies of one page say nothing of the template
+#: Kinds of tokens: one for the page itself, an element path, the blocks of a path, a text block.
+PAGE, ELEMENT, SLOT, TEXT = range(4)
+
+
+def tokens(pages: DataFrame, *, url_col: str, html_col: str) -> DataFrame:
+    """(host, page, kind, token, path, n) of every page; page is a hash of the content, path that of a text's block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, ids, columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), ([], [], [], [], [], [])
-            for host, page, text in zip(hosts, ids, batch.column(2).to_pylist(), strict=True):
+            rows: list[tuple] = []
+            for host, page, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 paths, blocks = parse(text or "")
-                chars: Counter = Counter()
-                tokens = Counter({p: n for p, n in paths.items()})
-                for b in blocks:
-                    tokens[text_token(b)] += 1
-                    if not b.dropped:
-                        chars[b.path.rpartition("/")[0]] += len(b.text)
-                for token, n in tokens.items():
-                    for c, v in zip(columns, (host, page, token, token.rpartition("#")[0] if "#" in token else token.rpartition("/")[0], n, chars.get(token, 0)), strict=True):
-                        c.append(v)
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            names = ["host", "page", "token", "parent", "n", "chars"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    rows = map_rows(named, run, T._parse_datatype_string("host string, page long, token string, parent string, n long, chars long"))
-    # digest of the occurrence vector: it combines before the shuffle
-    token = rows.groupBy("host", "token", "parent").agg(F.expr("bit_xor(xxhash64(page, n))").alias("digest"), F.count(F.lit(1)).alias("support"), F.sum("chars").alias("chars"))
-    size = named.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    common = materialize(token.join(size, "host").where("support >= 2 AND support * 2 >= pages"), "classes")  # at most twice a page's tokens for each host
-    root = F.col("parent") == ""
-    parents = common.select(F.col("host").alias("h"), F.col("token").alias("t"), F.col("support").alias("s"))
-    valid = common.join(parents, (F.col("host") == F.col("h")) & (F.col("parent") == F.col("t")), "left").where(root | (F.col("s") >= F.col("support")))
-    classes = valid.groupBy("host", "digest", "support").agg(F.collect_list("token").alias("tokens"), F.max(F.struct("chars", "token")).alias("richest"))
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("tokens"), F.max("richest").alias("richest")).select("host", "tokens", F.when(F.col("richest.chars") > 0, F.col("richest.token")).alias("slot"))
-
-
-def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_broadcast: int = 32 << 20) -> DataFrame:
+                rows.append((host, page, PAGE, 0, 0, 1))
+                rows += [(host, page, ELEMENT, p, 0, n) for p, n in paths.items()]
+                rows += [(host, page, SLOT, p, p, n) for p, n in Counter(b.path for b in blocks).items()]
+                rows += [(host, page, TEXT, t, p, n) for (t, p), n in Counter((text_token(b), b.path) for b in blocks).items()]
+            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["host", "page", "kind", "token", "path", "n"])
+
+    named = pages.select(F.xxhash64(host_of(F.col(url_col))).alias("host"), F.xxhash64(html_col).alias("page"), F.col(html_col).alias("html"))
+    return map_rows(named, run, T._parse_datatype_string("host long, page long, kind int, token long, path long, n long"))
+
+
+def templates(pages: DataFrame, *, url_col: str = "url", html_col: str = "html", least_pages: int = 3) -> DataFrame:
+    """(host, texts, paths): the fixed texts and fixed paths of each host's template; host is a hash of its name.
+
+    A host's row holds tokens of half of its pages or more, so at most twice a page's tokens.
+    """
+    rows = tokens(pages, url_col=url_col, html_col=html_col).groupBy("host", "page", "kind", "token", "path").agg(F.max("n").alias("n"))  # equal contents once
+    vector = F.xxhash64("page", "n")
+    parts = [F.sum(F.shiftrightunsigned(vector, 32)).alias("d0"), F.sum(vector.bitwiseAND(F.lit(0xFFFFFFFF))).alias("d1")]
+    seen = rows.groupBy("host", "kind", "token", "path").agg(*parts, F.count(F.lit(1)).alias("support"), F.sum("n").alias("total")).where(F.col("support") >= least_pages)
+    seen = materialize(seen, "vectors")
+    sizes = seen.where(F.col("kind") == PAGE).select("host", F.col("support").alias("pages"))
+    frequent = materialize(seen.join(sizes, "host").where("support * 2 >= pages"), "classes")
+    texts = frequent.where(F.col("kind") == TEXT)
+    # valid classes: a text and its own element path with the same vector
+    structure = frequent.where(F.col("kind") == ELEMENT).select("host", F.col("token").alias("path"), "d0", "d1", "support")
+    slots = seen.where(F.col("kind") == SLOT).select("host", "path", F.col("total").alias("blocks"))
+    fixed = texts.groupBy("host", "path").agg(F.sum("total").alias("fixed")).join(slots, ["host", "path"]).where("fixed >= blocks").select("host", "path")
+    every = texts.join(structure, ["host", "path", "d0", "d1", "support"], "left_semi").select("host", "token").union(texts.join(fixed, ["host", "path"], "left_semi").select("host", "token"))
+    by_host = every.groupBy("host").agg(F.collect_set("token").alias("texts"))
+    return by_host.join(fixed.groupBy("host").agg(F.collect_set("path").alias("paths")), "host", "left").select("host", "texts", F.coalesce("paths", F.array().cast("array<bigint>")).alias("paths"))
+
+
+def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 3, most_broadcast: int = 4 << 20) -> DataFrame:
     """(id, url, text, n_chars) of every page.
 
-    Templates up to ``most_broadcast`` characters in all are broadcast; more are joined
+    Templates of up to ``most_broadcast`` tokens in all are broadcast; more are joined
     by a shuffle on the host, whose large partitions Spark can split.
     """
-    found = materialize(templates(pages, id_col=id_col, url_col=url_col, html_col=html_col), "templates").select(F.col("host").alias("__host"), F.col("tokens").alias("__tokens"))
-    chars = found.agg(F.sum(F.aggregate("__tokens", F.lit(0).cast("long"), lambda a, x: a + F.length(x) + 20))).first()[0] or 0
-    if chars <= most_broadcast:
+    found = materialize(templates(pages, url_col=url_col, html_col=html_col, least_pages=least_pages), "templates").select(F.col("host").alias("__host"), "texts", "paths")
+    size = found.agg(F.sum(F.size("texts") + F.size("paths"))).first()[0] or 0
+    if size <= most_broadcast:
         found = F.broadcast(found)
-    joined = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("__of")).join(found, F.col("__of") == F.col("__host"), "left").select("id", "url", "html", "__of", "__tokens")
+    joined = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.xxhash64(host_of(F.col(url_col))).alias("__of"))
+    joined = joined.join(found, F.col("__of") == F.col("__host"), "left").select("id", "url", "html", "__of", "texts", "paths")
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField(url_col, pages.schema[url_col].dataType), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, template = None, frozenset()
+        host, template = None, (frozenset(), frozenset())
         for batch in batches:
-            texts, tokens = [], batch.column(4)
+            texts = []
             for i, (page, of) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 if of != host:
-                    host, template = of, frozenset(tokens[i].as_py() or ())
-                texts.append(main_text(page, template))
+                    host, template = of, tuple(frozenset(batch.column(k)[i].as_py() or ()) for k in (4, 5))
+                texts.append(main_text(page, *template))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, url_col, "text", "n_chars"])
 
     return map_rows(joined, run, schema)
