@@ -132,10 +132,52 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language_id.predict(df, nothing).collect()} == {"und"}
 
 
+def small_model(entries):
+    """A model from {(order, name): (count in a, count in b)}."""
+    return language_id.Model(["a", "b"], np.array([n for n, _ in entries], np.int64), [x for _, x in entries], np.array(list(entries.values()), np.int64))
+
+
 def test_backoff_order():
-    model = language_id.Model(["a", "b"], {(0, "word"): {"a": 5}, (4, "<lon"): {"b": 3}, (2, "lo"): {"a": 9}}, {(0, "a"): 5, (4, "b"): 3, (2, "a"): 9})
-    s = language_id.Scorer(model)
+    s = language_id.Scorer(small_model({(0, "word"): (5, 0), (4, "<lon"): (0, 3), (2, "lo"): (9, 0)}))
     assert s.predict("word")[0] == "a" and s.predict("long")[0] == "b" and s.predict("alo")[0] == "a"
+    assert [s.predict(t) for t in ("½ ②", "²", "12 _ !", "", None)] == [("und", 0.0)] * 5
+    assert s.predict("²word½long ")[0] == s.predict("word long")[0]
+
+
+def test_language_against_brute_force(spark):
+    """Counts, backoff and posterior spelled out over the training texts."""
+    import unicodedata
+
+    rng = random.Random(21)
+    rows = [(i, " ".join("".join(rng.choice("abcé" if i % 2 else "bcdø") for _ in range(rng.randrange(1, 7))) for _ in range(rng.randrange(1, 12))), "xy"[i % 2]) for i in range(40)]
+    rows += [(50, "Abc², b¼c zzz", None), (51, "zzzz", None), (52, None, "x"), (53, "٣ ½", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 AS lang_pred", "2 AS score")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(df, language_id.fit(df)).collect()}
+
+    def letters(t):
+        return "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (t or "").lower()).split()
+
+    def pieces(w, n):
+        w = w if n < 2 else "<" + w + ">"
+        return [w] if n == 0 else [w[k : k + n] for k in range(len(w) - n + 1)]
+
+    c = {(lang, n): Counter(g for _, t, x in rows if x == lang for w in letters(t) for g in pieces(w, n)) for lang in "xy" for n in range(5)}
+    log = lambda lang, n, g: math.log((c[lang, n][g] or 0.5) / (sum(c[lang, n].values()) + 1))
+    for i, t, _ in rows:
+        total = dict.fromkeys("xy", 0.0)
+        for w in letters(t):
+            for n in (0, 4, 3, 2, 1):
+                known = [g for g in pieces(w, n) if any(c[x, n][g] for x in "xy")]
+                if known:
+                    for x in "xy":
+                        total[x] += sum(log(x, n, g) for g in known) / len(known)
+                    break
+        if not letters(t):
+            assert got[i] == ("und", 0.0)
+            continue
+        odds = {x: math.exp(v - max(total.values())) for x, v in total.items()}
+        assert got[i][0] == max("xy", key=lambda x: odds[x]) and abs(got[i][1] - odds[got[i][0]] / sum(odds.values())) < 1e-4
+    assert language_id.predict(df.limit(0), language_id.fit(df.limit(0))).count() == 0
 
 
 def brute_secrets(t):
@@ -417,6 +459,6 @@ def test_near_copies_by_shingles(spark):
 
 
 def test_long_word_is_read_whole():
-    model = language_id.Model(["a", "b"], {(1, "x"): {"a": 50}, (1, "y"): {"b": 50}}, {(n, x): 50 for n in (0, *language_id.ORDERS) for x in "ab"})
+    model = small_model({(1, "x"): (50, 0), (1, "y"): (0, 50)})
     assert language_id.Scorer(model).predict("x" * 500 + "y" * 19_000 + "x" * 500)[0] == "b"
     assert language_id.Scorer(model).predict("y" * 500 + "x" * 19_000 + "y" * 500)[0] == "a"
