@@ -123,7 +123,7 @@ def retained_suffixes(documents: DataFrame, *, id_col: str, text_col: str, min_w
     return map_rows(documents.select(_identity(id_col, text_col).alias("doc"), F.col(text_col)), run, T._parse_datatype_string("key long, doc long, pos int, m int, step int"))
 
 
-def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, reach: int = 30, most: int = 50_000) -> DataFrame:
+def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, reach: int = 30, most: int = 2_000) -> DataFrame:
     """(id, doc, n_words, spans, later): word spans in repeated passages, and of copies after the first.
 
     Spans are arrays of (start, end) in words, end exclusive, merged and in order.
@@ -164,7 +164,7 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     def around(heads: DataFrame) -> DataFrame:
         """The words around the suffixes with these heads. The texts meet one row of places a document."""
         places = suffixes.join(heads.select("key"), "key").groupBy("doc").agg(F.collect_set(F.struct("pos", "key", "m", "step")).alias("places"))
-        joined = texts.join(places.hint("shuffle_hash"), texts["of"] == places["doc"]).select("doc", "id", "places.pos", "places.key", "places.m", "places.step", "text")
+        joined = texts.join(places, texts["of"] == places["doc"]).select("doc", "id", "places.pos", "places.key", "places.m", "places.step", "text")
         return map_rows(joined, extended, around_schema)
 
     def windows(batch: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -302,8 +302,8 @@ def dedup(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
     The white space before a removed word goes with it; other text stays as it is.
     """
-    found = repeats(documents, id_col=id_col, text_col=text_col, **options).where(F.size("later") > 0).select(F.col("doc").alias("__doc"), "later")
-    joined = documents.withColumn("__of", _identity(id_col, text_col)).join(found, F.col("__of") == F.col("__doc"), "left").drop("__of", "__doc").withColumnRenamed("later", "__later")
+    found = repeats(documents, id_col=id_col, text_col=text_col, **options).where(F.size("later") > 0).select(F.col("doc").alias("__doc"), F.col("later").alias("__later"))
+    joined = documents.withColumn("__of", _identity(id_col, text_col)).join(found, F.col("__of") == F.col("__doc"), "left").drop("__of", "__doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -72,7 +72,10 @@ def test_suffix_dedup_texts(spark):
     rows = [(1, f"one {p} end"), (2, f"two\n{p}  tail"), (3, None), (4, p)]
     out = {r["doc_id"]: r["text"] for r in suffix_dedup.dedup(docs(spark, rows)).collect()}
     assert out == {1: rows[0][1], 2: "two  tail", 3: None, 4: ""}
-    assert suffix_dedup.repeats(docs(spark, [])).count() == 0
+    clash = docs(spark, rows).withColumnRenamed("key", "later").withColumnRenamed("n", "spans")
+    kept = suffix_dedup.dedup(clash)
+    assert kept.columns == clash.columns and {(r["doc_id"], r["text"], r["later"], r["spans"]) for r in kept.collect()} == {(i, t, "k", 1) for i, t in out.items()}
+    assert suffix_dedup.repeats(docs(spark, [])).count() == 0 and suffix_dedup.dedup(docs(spark, [])).count() == 0
 
 
 def brute_windows(items, size=10):
