@@ -252,7 +252,8 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         both = heavy.join(again, ["key", "offset", "window"]).withColumn("later", ~place.eqNullSafe(F.col("first"))).withColumn("end", F.col("start") + (F.col("m") - 1) * F.col("step") + min_words)
         # of equal neighbours all but the first are later copies
         kinds = F.when(F.col("later"), F.array(F.struct("start", "later"))).when(F.col("m") > 1, F.array(F.struct("start", "later"), F.struct((F.col("start") + F.col("step")).alias("start"), F.lit(True).alias("later")))).otherwise(F.array(F.struct("start", "later")))
-        spans = found.union(both.withColumn("kind", F.explode(kinds)).select("id", "doc", "n_words", "kind.start", "end", "kind.later"))
+        # a table of its own, so that the join is a stage that Spark can split at a frequent window
+        spans = found.union(materialize(both.withColumn("kind", F.explode(kinds)).select("id", "doc", "n_words", "kind.start", "end", "kind.later"), "frequent"))
 
     pair = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("doc", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("spans", pair), T.StructField("later", pair)])
