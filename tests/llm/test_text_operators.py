@@ -253,6 +253,28 @@ def test_line_dedup(spark):
     assert got.pop(900) == ([], None)
     assert got == brute_lines(rows, 25)
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
+    clash = docs(spark, rows).withColumnRenamed("key", "deleted_lines").withColumnRenamed("n", "doc").withColumnRenamed("start", "id")
+    again = line_dedup.dedup_lines(clash, min_chars=25)
+    assert again.columns == clash.columns and {r["doc_id"]: r["deleted_lines"] for r in again.collect() if r["text"] is not None} == {i: gone for i, (gone, _) in got.items()}
+
+
+def test_suffix_ranks_are_the_order_of_suffixes(spark):
+    """Ranks of each level order suffixes as their first lines do, and are equal where these are."""
+    rng = random.Random(14)
+    rows = [(i, "\n".join(rng.choice("ab") for _ in range(rng.randrange(30)))) for i in range(30)] + [(40, None)]
+    every = line_dedup.lines(docs(spark, rows), id_col="doc_id", text_col="text", min_chars=8)
+    first, ranks = line_dedup.suffix_ranks(every, 3)
+    ids = {r["doc"]: r["id"] for r in first.select("doc", "id").distinct().collect()}
+    ls = {i: t.split("\n") for i, t in rows if t is not None}
+    name = {r["line"]: (r["h"], r["h2"]) for r in spark.createDataFrame([(x,) for x in ["", "a", "b", "c"]], "line string").select("line", F.xxhash64("line").alias("h"), F.hash("line").alias("h2")).collect()}
+    for t in range(4):
+        got = {(ids[r["doc"]], r["i"]): r["rank"] for r in ranks.where(F.col("t") == t).collect()}
+        blocks = {(i, k): tuple(name[x] for x in lines[k : k + (1 << t)]) for i, lines in ls.items() for k in range(len(lines) - (1 << t) + 1)}
+        often = Counter(blocks.values())
+        want = {at: b for at, b in blocks.items() if often[b] > 1}
+        assert got.keys() == want.keys() and len(want) > 10
+        order = sorted(want, key=lambda at: want[at])
+        assert all((got[a] < got[b]) == (want[a] < want[b]) and (got[a] == got[b]) == (want[a] == want[b]) for a, b in zip(order, order[1:], strict=False))
 
 
 def test_line_dedup_is_native(spark):
