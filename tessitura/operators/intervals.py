@@ -9,7 +9,7 @@ UNKNOWN = "[unknown]"
 
 
 def align(lines: DataFrame, segments: DataFrame, *, reach: float = 5.0, bucket_s: float = 30.0, mode: str = "labeled") -> DataFrame:
-    """Each line (recording_id, line_idx, t, ...) with the speaker of its segment.
+    """Each line (recording_id, t, ...) with the speaker of its segment; repeated lines are kept.
 
     A line belongs to the segment that contains it (both ends included; of several the
     first by start and seg_idx), else to the nearest one less than ``reach`` away (first on
@@ -17,8 +17,8 @@ def align(lines: DataFrame, segments: DataFrame, *, reach: float = 5.0, bucket_s
 
     Time is cut into buckets of ``bucket_s``; a segment goes to every bucket that it or its
     reach touches, a line to exactly one. The join is then on (recording_id, bucket), so a
-    long recording spreads over many tasks, and as the aggregate groups by the join's key
-    and the line it needs no second shuffle.
+    long recording spreads over many tasks. Only the distinct times of lines are joined and
+    aggregated; the lines themselves, with their texts, meet one label for each time.
 
     Null times match nothing and stay unknown; segments with a null end are ignored.
     """
@@ -32,13 +32,12 @@ def align(lines: DataFrame, segments: DataFrame, *, reach: float = 5.0, bucket_s
     inside = (start <= t) & (t <= end)
     distance = F.least(F.abs(t - start), F.abs(t - end))
     fits = {"contains": inside, "nearest": ~inside & (distance < reach), "labeled": inside | (distance < reach)}[mode]
-    keyed = lines.withColumn("__b", bucket(t))
-    joined = keyed.join(spread, (F.col("recording_id") == F.col("__rec")) & (F.col("__b") == F.col("__bucket")) & fits, "left")
+    times = lines.where("t IS NOT NULL").select("recording_id", "t").distinct().withColumn("__b", bucket(t))
+    joined = times.join(spread, (F.col("recording_id") == F.col("__rec")) & (F.col("__b") == F.col("__bucket")) & fits)
     key = F.struct(F.when(inside, 0).otherwise(1), F.when(inside, 0.0).otherwise(distance), start, F.col("__seg"))
-    speaker = F.min_by("__speaker", F.when(F.col("__rec").isNotNull(), key))
-    groups = ["recording_id", "__b", *(c for c in lines.columns if c != "recording_id")]
-    found = joined.groupBy(*groups).agg(speaker.alias("speaker"))
-    return found.withColumn("speaker", F.coalesce("speaker", F.lit(UNKNOWN))).select(*lines.columns, "speaker")
+    labels = joined.groupBy("recording_id", "__b", "t").agg(F.min_by("__speaker", key).alias("__label")).select(F.col("recording_id").alias("__of"), F.col("t").alias("__at"), "__label")
+    found = lines.join(labels, (lines["recording_id"] == F.col("__of")) & (lines["t"] == F.col("__at")), "left")
+    return found.select(*(lines[c] for c in lines.columns), F.coalesce("__label", F.lit(UNKNOWN)).alias("speaker"))
 
 
 def min_duration(segments: DataFrame, start: str = "start_s", end: str = "end_s", least: float = 0.3) -> DataFrame:

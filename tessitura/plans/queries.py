@@ -1,8 +1,9 @@
 """The query catalogue over the driver's tables, and the same in DuckDB SQL.
 
-There is no audio in those tables. Segments are events whose id is no multiple of 3
+There is no audio in those tables. Segments are events
 (recording = user, speaker = type, start = whole seconds since 2024-01-01 / 5000, end =
-start + value / 10), lines are the other events or turns of conversations (7.5 s apart),
+start + value / 10), lines are events again (9 s before, at or after their start, by their
+id modulo 3; every tenth stands twice) or turns of conversations (7.5 s apart),
 languages are the documents' own, vectors are embeddings with their label as recording.
 """
 
@@ -46,13 +47,14 @@ def _start() -> F.Column:
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where("event_id % 3 <> 0")
+    rows = table(spark, sf_dir, "events")
     return rows.select(F.col("user_id").alias("recording_id"), F.col("event_id").alias("seg_idx"), F.col("event_type").alias("speaker"), _start().alias("start"), (_start() + F.col("value") / 10).alias("end"))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where("event_id % 3 = 0")
-    return rows.select(F.col("user_id").alias("recording_id"), F.col("event_id").alias("line_idx"), _start().alias("t"))
+    times = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = table(spark, sf_dir, "events").withColumn("copy", F.explode(times))
+    return rows.select(F.col("user_id").alias("recording_id"), F.col("event_id").alias("line_idx"), (_start() + (F.col("event_id") % 3 - 1) * 9).alias("t"))
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,10 +62,10 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 START = "floor(epoch(ts) - epoch(TIMESTAMP '2024-01-01')) / 5000.0"
-SEG = f"s AS (SELECT user_id AS recording_id, event_id AS seg_idx, event_type AS speaker, {START} AS b, {START} + value / 10 AS e FROM events WHERE event_id % 3 <> 0)"
-LINES = f"l AS (SELECT user_id AS recording_id, event_id AS line_idx, {START} AS t FROM events WHERE event_id % 3 = 0)"
-TURNS = r"l AS (SELECT conv_id AS recording_id, turn AS line_idx, turn * 7.5::DOUBLE AS t, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text FROM conversations)"
-ALIGNED = """c AS (SELECT l.*, s.speaker, row_number() OVER (PARTITION BY l.recording_id, l.line_idx ORDER BY CASE WHEN t BETWEEN b AND e THEN 0 ELSE 1 END, CASE WHEN t BETWEEN b AND e THEN 0 ELSE least(abs(t - b), abs(t - e)) END, b, seg_idx) AS r
+SEG = f"s AS (SELECT user_id AS recording_id, event_id AS seg_idx, event_type AS speaker, {START} AS b, {START} + value / 10 AS e FROM events)"
+LINES = f"l AS (SELECT user_id AS recording_id, event_id AS line_idx, {START} + (event_id % 3 - 1) * 9 AS t, event_id * 2 + copy AS rid FROM (SELECT *, unnest(CASE WHEN event_id % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM events))"
+TURNS = r"l AS (SELECT conv_id AS recording_id, turn AS line_idx, turn * 7.5::DOUBLE AS t, regexp_replace(text, '^\s+|\s+$', '', 'g') AS text, conv_id || '/' || turn AS rid FROM conversations)"
+ALIGNED = """c AS (SELECT l.*, s.speaker, row_number() OVER (PARTITION BY l.recording_id, l.rid ORDER BY CASE WHEN t BETWEEN b AND e THEN 0 ELSE 1 END, CASE WHEN t BETWEEN b AND e THEN 0 ELSE least(abs(t - b), abs(t - e)) END, b, seg_idx) AS r
  FROM l LEFT JOIN s ON l.recording_id = s.recording_id AND ({fits})),
 a AS (SELECT * EXCLUDE (r, speaker), coalesce(speaker, '[unknown]') AS speaker FROM c WHERE r = 1)"""
 INSIDE, NEAR = "t BETWEEN b AND e", "least(abs(t - b), abs(t - e)) < 5"
@@ -370,11 +372,11 @@ def lang_choice(spark, sf_dir):
 
 
 def _lang_lines(spark, sf_dir):
-    text = F.when(F.col("doc_id") % 17 == 0, F.lit("  ")).otherwise(F.substring("text", 1, 20))  # the line's own short text, some blank
+    text = F.when(F.col("doc_id") % 17 == 0, F.lit("  ")).otherwise(F.col("text"))  # some blank
     return table(spark, sf_dir, "documents").select(F.col("source").alias("recording_id"), F.col("doc_id").alias("line_idx"), text.alias("text"), F.when(F.col("doc_id") % 5 != 0, F.col("lang")).alias("lang"))
 
 
-VOTES = r"""d AS (SELECT source AS recording_id, doc_id, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, CASE WHEN doc_id % 17 = 0 THEN '' ELSE regexp_replace(substr(text, 1, 20), '^\s+|\s+$', '', 'g') END AS t FROM documents),
+VOTES = r"""d AS (SELECT source AS recording_id, doc_id, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang, CASE WHEN doc_id % 17 = 0 THEN '' ELSE regexp_replace(text, '^\s+|\s+$', '', 'g') END AS t FROM documents),
 k AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY doc_id) - 1 AS k, count(*) OVER (PARTITION BY recording_id) AS n FROM d WHERE t <> ''),
 kl AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY doc_id) - 1 AS kk FROM d WHERE t <> '' AND lang IS NOT NULL),
 h AS (SELECT recording_id, lang, count(*) AS c FROM kl WHERE kk < 50 GROUP BY recording_id, lang),
