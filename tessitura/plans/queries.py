@@ -9,6 +9,7 @@ languages are the documents' own, vectors are embeddings with their label as rec
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +21,7 @@ from ..functions import language, metrics, signal, vectors
 from ..operators import clustering, frames, intervals, lines
 from ..sources import inputs
 from ..sources import models as model_roles
-from . import diarize, job
+from . import diarize, job, run
 from .validate import DEFAULT_CANDIDATES, validated
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -526,3 +527,64 @@ def worker_info(spark, sf_dir):
     memory = F.when(F.col("n_nationkey") % 2 == 0, (F.col("n_nationkey") * 1000).cast("string")).otherwise(F.concat(F.col("n_nationkey").cast("string"), F.lit(" MiB")))
     text = F.concat("n_name", F.lit(", "), memory, F.lit(", 550.1, 8.9\nbroken, line\n"))
     return table(spark, sf_dir, "nation").select("n_nationkey", F.explode(inputs.worker_gpus(text)).alias("g")).select("n_nationkey", "g.name", "g.memory_mb", "g.driver_version", "g.cuda_version")
+
+
+def _stub_roles() -> run.Roles:
+    """Deterministic stand-ins: ten samples a second, as many seconds as the URL has letters."""
+
+    def transcribe(samples: np.ndarray, model: str) -> list[tuple]:
+        return [(float(a), min(a + 10.0, len(samples) / 10), f"{model} says {a}", 0.1, -0.2, 1.5, 0.0) for a in range(0, len(samples) // 10, 10)]
+
+    def speakers(samples: np.ndarray, number: int | None, threshold: float) -> list[tuple[float, float, int]]:
+        return [(float(a), min(a + 15.0, len(samples) / 10), a // 15 % 2) for a in range(0, len(samples) // 10, 15)]
+
+    return run.Roles(
+        detect=lambda samples: ("es", 0.8), diarize=speakers, transcribe=transcribe, text_language=lambda text: ("en" if "base" in text else "pt", 0.75),
+        fetch=lambda url: url.encode(), decode=lambda content: np.zeros(10 * len(content), np.float32), rate=10, chunk_samples=200,
+    )
+
+
+def _work(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tessitura-")
+    return folder
+
+
+# a URL of 19 or 18 letters is a file of as many seconds; in fixed_chunk, chunks of 20 s are diarized on their own
+ANSWERS = """j AS (SELECT o_orderkey AS id, o_orderkey % 8 AS k, o_orderpriority FROM orders),
+e AS (SELECT id, k, CASE WHEN k = 7 THEN o_orderpriority ELSE 'recording' END AS recording_id, CASE k WHEN 0 THEN 'Event must contain ''input'' field.' WHEN 3 THEN 'Either ''audio_url'' or ''audio_urls'' input is required.' WHEN 6 THEN '''model_sizes'' must be a non-empty array.' WHEN 4 THEN 'Unknown diarization_mode ''x''.' END AS error,
+ CASE WHEN k IN (1, 7) THEN 37 WHEN k IN (2, 5) THEN 19 END AS s, CASE k WHEN 5 THEN ['tiny.en'] WHEN 7 THEN ['base.en'] WHEN 1 THEN ['base.en', 'small.en'] WHEN 2 THEN ['base.en', 'small.en'] END AS models FROM j),
+m AS (SELECT id, k, recording_id, s, unnest(models) AS model FROM e WHERE error IS NULL),
+l AS (SELECT *, unnest(range(0, s, 10)) AS t FROM m),
+w AS (SELECT *, '[00:00:' || lpad(t::VARCHAR, 2, '0') || ']' AS stamp, model || ' says ' || t AS text, CASE WHEN k <> 7 THEN (CASE WHEN t <= 15 THEN 0 ELSE 1 END) ELSE (CASE WHEN t <= 15 THEN 0 WHEN t <= 20 THEN 1 ELSE 2 END) END AS speaker FROM l),
+d AS (SELECT id, k, recording_id, model, count(*) AS n, string_agg(stamp || '  ' || text, chr(10) ORDER BY t) AS transcript, string_agg(stamp || ' speaker_0' || speaker || ': ' || text, chr(10) ORDER BY t) AS labeled FROM w GROUP BY id, k, recording_id, model)"""
+
+
+@query(f"""WITH {ANSWERS}, x AS (SELECT id, string_agg(model || ':' || n || ':' || md5(transcript) || ':' || md5(labeled), ',' ORDER BY model) AS texts FROM d GROUP BY id)
+SELECT e.id::VARCHAR AS id, recording_id, error, CASE WHEN error LIKE 'Unknown%' THEN 'Supported: whole_day, fixed_chunk' END AS detail, CASE WHEN error IS NULL THEN 'pt' END AS detected_language, CASE WHEN error IS NULL THEN round(0.8::DOUBLE * 0.7::DOUBLE, 4) END AS language_probability,
+CASE WHEN error IS NOT NULL THEN -1 WHEN k = 7 THEN 4 ELSE 2 END AS num_speakers, s::DOUBLE AS audio_duration_s, CASE WHEN s = 37 THEN '19.0,18.0' WHEN s = 19 THEN '19.0' END AS file_durations, texts FROM e LEFT JOIN x ON e.id = x.id""")
+def job_answers(spark, sf_dir):
+    made, _ = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), _work(spark))
+    text = lambda kv: F.concat_ws(":", kv["key"], kv["value"]["transcript_lines"].cast("string"), F.md5(kv["value"]["transcript"]), F.md5(kv["value"]["labeled_transcript"]))
+    texts = F.when(F.col("models").isNotNull(), F.array_join(F.array_sort(F.transform(F.map_entries("models"), text)), ","))
+    durations = F.when(F.col("file_durations_s").isNotNull(), F.array_join(F.col("file_durations_s").cast("array<string>"), ","))
+    return made.select("id", "recording_id", "error", "detail", "detected_language", "language_probability", F.coalesce("num_speakers", F.lit(-1)).alias("num_speakers"), "audio_duration_s", durations.alias("file_durations"), texts.alias("texts"))
+
+
+@query(f"""WITH {ANSWERS}, p AS (SELECT *, CASE WHEN k = 7 THEN 'fixed_chunk' ELSE 'whole_day' END AS mode, CASE WHEN k = 7 THEN 4 ELSE 2 END AS speakers, CASE WHEN k = 7 THEN [0, 15, 20, 35, 37] WHEN s = 37 THEN [0, 15, 30, 37] ELSE [0, 15, 19] END AS cuts FROM e WHERE error IS NULL),
+g AS (SELECT *, unnest(range(1, len(cuts))) AS i FROM p),
+h AS (SELECT id, recording_id, '{{"segments":[' || string_agg('{{"start":' || cuts[i] || '.0,"end":' || cuts[i + 1] || '.0,"speaker":"speaker_0' || ((i - 1) % speakers) || '"}}', ',' ORDER BY i) || '],"num_speakers":' || speakers || ',"threshold":0.5,"model":"adapter","mode":"' || mode || '"}}' AS c FROM g GROUP BY id, recording_id, speakers, mode),
+f AS (SELECT *, CASE WHEN model LIKE '%base%' THEN 'en' ELSE 'pt' END AS lang FROM d)
+SELECT id::VARCHAR AS id, recording_id || '_transcript_' || model || '.txt' AS filename, md5(transcript) AS content_md5 FROM d UNION ALL SELECT id::VARCHAR, recording_id || '_labeled_' || model || '.txt', md5(labeled) FROM d
+UNION ALL SELECT id::VARCHAR, recording_id || '_language_flags_' || model || '.json', md5('{{"model":"' || model || '","overall_detected_language":"' || lang || '","overall_confidence":0.75,"window_flags":[{{"start_line":0,"end_line":' || (n - 1) || ',"detected_language":"' || lang || '","confidence":0.75,"flag":null}}]}}') FROM f
+UNION ALL SELECT id::VARCHAR, recording_id || '_run_summary.json', md5('{{"recording_id":"' || recording_id || '","model_sizes":["' || array_to_string(models, '","') || '"],"detected_language":"pt","language_probability":0.56,"audio_duration_s":' || s || '.0,"file_durations_s":[' || CASE WHEN s = 37 THEN '19.0,18.0' ELSE '19.0' END || '],"num_files":' || CASE WHEN s = 37 THEN 2 ELSE 1 END || ',"num_speakers":' || speakers || ',"cluster_threshold":0.5,"diarization_mode":"' || mode || '","cpu_only":true,"job_id":"' || id || '"}}') FROM p
+UNION ALL SELECT id::VARCHAR, recording_id || '_diarization.json', md5(c) FROM h
+UNION ALL SELECT id::VARCHAR, recording_id || '_segment_metadata_' || model || '.json', md5('{{"model":"' || model || '","detected_language":"pt","language_probability":0.56,"segments":[' || string_agg('{{"start":' || t || '.0,"end":' || least(t + 10, s) || '.0,"no_speech_prob":0.1,"avg_logprob":-0.2,"compression_ratio":1.5,"temperature":0.0,"text":"' || text || '"}}', ',' ORDER BY t) || ']}}') FROM w GROUP BY id, recording_id, model""")
+def job_artifacts(spark, sf_dir):
+    _, made = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), _work(spark))
+    # what the pretty printer adds between tokens goes, so that documents compare whole
+    compact = F.regexp_replace(F.regexp_replace(F.regexp_replace("content", r"\n\s*", ""), r'(?<=") : ', ":"), r'(?<=[\[\]{}"0-9,]) (?=[\]\[{}"0-9-])', "")
+    return made.select(F.col("recording_id").alias("id"), "filename", F.md5(F.when(F.col("filename").like("%.json"), compact).otherwise(F.col("content"))).alias("content_md5"))
