@@ -19,13 +19,13 @@ def brute(rows, threshold):
     return dict(zip([i for i, _ in fine], links, strict=True)), root
 
 
-@pytest.mark.parametrize("rows_per_block", [4096, 40])
+@pytest.mark.parametrize("rows_per_block", [None, 40])
 def test_embeddings(spark, rows_per_block):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(25, 16))
     rows = [(int(i), (centres[i % 25] + rng.normal(size=16) * rng.choice([0.05, 0.2, 0.35])).astype(np.float32).tolist()) for i in rng.permutation(220)]
-    rows += [(300 + k, rows[0][1]) for k in range(5)] + [(310, None), (311, []), (312, [0.0] * 16), (313, [float("nan")] * 16), (314, [None] * 16), (315, [float("inf")] + [1.0] * 15), (316, [1.0, 2.0]), (317, [2.0, 4.0]), (318, [1e-30] * 16), (319, [3e-30] * 16)]
-    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, label string")
+    rows += [(300 + k, rows[0][1]) for k in range(5)] + [(310, None), (311, []), (312, [0.0] * 16), (313, [float("nan")] * 16), (314, [None] * 16), (315, [float("inf")] + [1.0] * 15), (316, [1.0, 2.0]), (317, [2.0, 4.0]), (318, [1e-30] * 16), (319, [3e-30] * 16), (320, [1.0] + [0.0] * 15), (321, [0.9, float(np.sqrt(1 - 0.81))] + [0.0] * 14)]
+    df = spark.createDataFrame([(i, v, "x", 1, 2) for i, v in rows], "vec_id long, embedding array<float>, label string, key int, block int")
     got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df, rows=rows_per_block).collect()}
     links, root = brute([(r["vec_id"], r["embedding"]) for r in df.collect()], 0.9)
     assert {i: r["n_links"] for i, r in got.items()} == {i: links.get(i, 0) for i in root}
@@ -37,11 +37,31 @@ def test_embeddings(spark, rows_per_block):
 def test_bounds_are_rigorous():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 64)) * rng.choice([0.01, 1, 50], size=(300, 1))
-    b = embedding_dedup.Block(np.arange(300), np.ones(300), x)
-    real = b.unit @ b.unit.T
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    real = unit @ unit.T
+    b = embedding_dedup.Block(np.arange(300), np.ones(300), *embedding_dedup.quantised(x))
     product = b.whole.astype(np.float32) @ b.whole.astype(np.float32).T * (b.scale[:, None] * b.scale)
     bound = b.error[:, None] + b.error + b.error[:, None] * b.error
-    assert (np.abs(product - real) <= bound).all()
+    assert (np.abs(product - real) <= bound).all() and bound.max() < 0.05
+    fine = b.fine(np.arange(300))
+    second = b.error2[:, None] + b.error2 + b.error2[:, None] * b.error2
+    assert (np.abs(fine @ fine.T - real) <= second).all() and second.max() < 2e-4
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.0, 0.9])
+def test_tile_finds_what_the_product_says(threshold):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(40, 24)), 6, axis=0) + rng.normal(size=(240, 24)) * 0.4
+    x = np.concatenate([x, [[1.0] + [0.0] * 23, [0.9, np.sqrt(1 - 0.81)] + [0.0] * 22]])  # a pair at 0.9 but for rounding
+    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    links = (unit @ unit.T >= threshold) & ~np.eye(len(x), dtype=bool)
+    b = embedding_dedup.Block(np.arange(len(x)), np.ones(len(x)), *embedding_dedup.quantised(x))
+    one, two, label, i, j = embedding_dedup.tile(b, b, threshold, entries=5000)
+    open_ = {frozenset(p) for p in zip(i.tolist(), j.tolist(), strict=True)}
+    assert len(open_) < 0.01 * links.size and (threshold != 0.9 or frozenset((240, 241)) in open_)
+    for p in open_:
+        links[tuple(p)] = links[tuple(p)[::-1]] = False
+    assert (one + two == links.sum(axis=1)).all()
 
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><title>T &amp; t</title><style>p{margin:0}</style><script>var t="</p>";</script></head><body class="has-sidebar">
