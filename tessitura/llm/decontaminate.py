@@ -5,6 +5,11 @@ letter nor a digit into a space; it keeps the length in bytes, so a word's place
 normalised text is its place in the original. The automaton's patterns are windows of
 consecutive item words between single spaces; it reads each text once.
 
+One automaton holds windows and item ids of about ``most_bytes`` bytes, whatever items they come
+from: pairs of window and id are dealt by a hash, so neither a huge item nor a window that
+every item holds outgrows it. A larger benchmark takes as many passes. A worker builds an
+automaton once and keeps it for its next tasks.
+
 Defined cases: null and empty texts have no words and no hits; an item without words
 has no window; items with a null id hit words but are named by the empty string; ties
 and repeated rows are judged one by one; null document ids are carried through; an empty
@@ -39,25 +44,35 @@ def windows(item: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(item[i : i + size]) for i in range(max(1, len(item) - size + 1))] if item else []
 
 
-def shards(benchmark: DataFrame, id_col: str, text_col: str, size: int, most: int) -> Iterator[dict[bytes, list[str]]]:
-    """Window -> ids of its items, at most about ``most`` windows at a time, so that the
-    driver and one automaton hold a bounded part of the benchmark."""
-    part: dict[bytes, list[str]] = {}
-    for row in benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL").toLocalIterator():
-        for w in windows(words(row["t"]), size):
-            ids = part.setdefault(w, [])
-            if not ids or ids[-1] != (row["i"] or ""):
-                ids.append(row["i"] or "")
-        if len(part) >= most:
-            yield part
-            part = {}
-    yield part
+def window_table(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(window, item) of every window, each pair once; a null id is the empty string."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = [w.decode("utf-8", "surrogatepass") for w in windows(words(text), size)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([item] * len(found), pa.string())], names=["window", "item"])
+
+    named = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text_col).alias("text")).where("text IS NOT NULL")
+    return materialize(map_rows(named, run, T._parse_datatype_string("window string, item string")).distinct(), "windows")
+
+
+def shards(table: DataFrame, most_bytes: int) -> Iterator[dict[str, list[str]]]:
+    """Window -> ids, about ``most_bytes`` bytes of them at a time: what the driver and one automaton hold."""
+    total = table.agg(F.sum(F.octet_length("window") + F.octet_length("item"))).first()[0] or 0
+    number = max(1, -(-total // most_bytes))
+    for k in range(number):
+        part: dict[str, list[str]] = {}
+        found = table.where(F.pmod(F.xxhash64("window", "item"), F.lit(number)) == k).toArrow()
+        for w, item in zip(found.column("window").to_pylist(), found.column("item").to_pylist(), strict=True):
+            part.setdefault(w, []).append(item)
+        yield part
 
 
-def automaton(part: dict[bytes, list[str]]) -> ahocorasick.Automaton:
+def automaton(part: dict[str, list[str]]) -> ahocorasick.Automaton:
     built = ahocorasick.Automaton()
     for w, ids in part.items():
-        text = f" {w.decode('utf-8', 'surrogatepass')} "
+        text = f" {w} "
         built.add_word(text, (len(text), ids))
     built.make_automaton()
     return built
@@ -90,10 +105,10 @@ def spans_of(text: str, inside: np.ndarray) -> list[dict]:
     return [{"start": int(point[edges[2 * a]]), "end": int(point[edges[2 * b - 1]])} for a, b in zip(runs[::2], runs[1::2], strict=True)]
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, most_windows: int = 500_000) -> DataFrame:
+def scan(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, most_bytes: int = 8 << 20) -> DataFrame:
     """Documents against a benchmark: id, text, n_words, n_hit, items (sorted), spans (of hit words).
 
-    One pass and no shuffle. ``most_windows`` bounds one automaton; a larger benchmark is
+    One pass and no shuffle of documents. A benchmark of more than ``most_bytes`` is
     scanned in as many passes, each adding to what the passes before it have found, with a
     table in the shared folder between them.
     """
@@ -102,13 +117,16 @@ def scan(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
         T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("spans", SPANS), T.StructField("hit_words", T.BinaryType()),
     ])
     out, passes = documents.select(id_col, text_col), 0
-    for part in shards(benchmark, item_col, item_text_col, window, most_windows):
+    for part in shards(window_table(benchmark, item_col, item_text_col, window), most_bytes):
         if passes:
             out = materialize(out, "decontaminate")
-        shared = documents.sparkSession.sparkContext.broadcast(part)  # at most most_windows windows
+        shared = documents.sparkSession.sparkContext.broadcast({"windows": part})  # about most_bytes
 
         def one_pass(batches: Iterator[pa.RecordBatch], shared=shared, again=passes > 0) -> Iterator[pa.RecordBatch]:
-            built = automaton(shared.value) if shared.value else None
+            held = shared.value
+            if "built" not in held and held["windows"]:
+                held["built"] = automaton(held["windows"])
+            built = held.get("built")
             for batch in batches:
                 rows = []
                 for n, text in enumerate(batch.column(1).to_pylist()):

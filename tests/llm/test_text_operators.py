@@ -87,7 +87,7 @@ def plain(t):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
 
 
-@pytest.mark.parametrize("most", [500_000, 3])
+@pytest.mark.parametrize("most", [8 << 20, 300])
 def test_decontaminate(spark, most):
     rng = random.Random(5)
     words = ["Ab", "é1", "c", "D", "ünï", "7x"]
@@ -96,7 +96,7 @@ def test_decontaminate(spark, most):
     rows = [(i, say(rng.randrange(80))) for i in range(60)] + [(70, None), (71, ""), (72, "Only  THREE\nwords"), (73, "only three wordsx"), (70, None)]
     rows += [(80 + k, f"{say(4)} {t} {say(3)}") for k, t in items if t]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.scan(docs(spark, rows), bench, most_windows=most).collect()
+    got = decontaminate.scan(docs(spark, rows), bench, most_bytes=most).collect()
     want = brute_windows(items)
     found = Counter()
     for i, t in rows:
@@ -117,6 +117,20 @@ def test_decontaminate(spark, most):
     assert decontaminate.scan(docs(spark, rows), spark.createDataFrame([], "item_id long, text string")).where("n_hit > 0").count() == 0
 
 
+def test_one_window_in_many_items(spark):
+    """A window that every item holds is dealt over the automata, and one huge item too."""
+    window = " ".join(f"w{k}" for k in range(10))
+    items = [(i, window) for i in range(100_000)] + [(200_000, " ".join(f"v{k}" for k in range(3000)))]
+    table = decontaminate.window_table(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 10)
+    parts = list(decontaminate.shards(table, 1 << 20))
+    sizes = [sum(len(w) + len(i) for w, ids in p.items() for i in ids) for p in parts]
+    assert len(parts) > 3 and max(sizes) < 1.1 * (1 << 20) and sum(len(ids) for p in parts for ids in p.values()) == 100_000 + 2991
+    got = {r["doc_id"]: r for r in decontaminate.scan(docs(spark, [(1, f"a {window} b"), (2, "v5 " + " ".join(f"v{k}" for k in range(9, 19))), (3, None)]), spark.createDataFrame(items, "item_id long, text string"), most_bytes=4 << 20).collect()}
+    assert (got[1]["n_hit"], len(got[1]["items"]), got[2]["n_hit"], got[2]["items"], got[3]["n_words"]) == (10, 100_000, 10, ["200000"], 0)
+    empty = decontaminate.decontaminate(docs(spark, []), spark.createDataFrame(items[:1], "item_id long, text string"))
+    assert empty.count() == 0 and empty.columns == docs(spark, []).columns
+
+
 def test_language(spark):
     rng = random.Random(1)
     stems = {"aa": ["lor", "ip", "sum", "dol"], "bb": ["zak", "wem", "yat"], "cc": ["ñá", "éé", "ór"]}
