@@ -161,10 +161,13 @@ def fit(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 def predict(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score): one pass without a shuffle. The model is broadcast as plain data; ``fit`` bounds its size."""
     schema = T.StructType([T.StructField(id_col, documents.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    shared = documents.sparkSession.sparkContext.broadcast(model.plain)
+    shared = documents.sparkSession.sparkContext.broadcast({"plain": model.plain})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(Model(*shared.value))
+        held = shared.value
+        if "scorer" not in held:  # once in each worker
+            held["scorer"] = Scorer(Model(*held["plain"]))
+        scorer = held["scorer"]
         for batch in batches:
             found = [scorer.predict(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=[id_col, "lang_pred", "score"])
