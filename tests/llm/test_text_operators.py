@@ -231,6 +231,56 @@ def test_secrets_linking():
     assert found("see https://example.com for more") == []
 
 
+def all_pairs_linked(text, base, weak, reach):
+    """Linking by comparing every weak part with every other part."""
+    ends = [m.end() for m in re.finditer(r"\n[^\S\n]*\n", text)]
+    roles = {"access": "id", "weak_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "endpoint": "end"}
+    out = []
+    for p in weak:
+        low, high = max([0, *(e for e in ends if e <= p[0])]), min([len(text) + 1, *(e for e in ends if e > p[0])])
+        near = {roles[o[2]] for o in [*base, *weak] if o[0] < high and o[1] > low and max(0, o[0] - p[1], p[0] - o[1]) <= reach and (o != p)}
+        if p[2] == "weak_id" and "secret" in near or p[2] == "weak_secret" and near & {"id", "end"} or p[2] == "endpoint" and ({"id", "secret"} <= near or secrets.WITH_USER.search(text, p[0], p[1])):
+            out.append(p)
+    return out
+
+
+def test_secrets_linking_against_all_pairs():
+    rng = random.Random(17)
+    parts = ["user = alice", "login: bob_7", "AKIA2345678", "Qk3j9Xz7Lm2Pq8Rt5Vw1", "zz9/8yyXwv7654tsrq+po", "https://db.example.com/x", "postgres://u:p4ss@h.example/db", "host = db.example.com", "password=hunter22", "0123456789abcdef01234567", "\n\n", "\n", "words of text", "filler " * 12, "filler " * 25]
+    linked = 0
+    for _ in range(600):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        raw = text.encode()
+        base = secrets.base_spans(text, raw, raw.lower())
+        weak = secrets.weak_parts(text, raw, raw.lower(), base)
+        want = all_pairs_linked(text, base, weak, 200)
+        assert sorted(secrets.find(text)[1]) == sorted(want)
+        linked += len(want)
+    assert linked > 500
+
+
+def test_secrets_planted(spark):
+    """Multipart credentials in clean text are found; lone decoys of every kind are not."""
+    rng = random.Random(18)
+    say = lambda k: " ".join(rng.choice(["the", "report", "was", "sent", "to", "them", "on", "time"]) for _ in range(k))
+    token = lambda k: "A7" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789") for _ in range(k))
+    rows, want = [], {}
+    for i in range(400):
+        before, between, after = say(rng.randrange(30)), say(rng.randrange(1, 20)), say(rng.randrange(30))
+        one = rng.choice(["user = svc_backup", "client_id: prod-17", f"AKIA{rng.randrange(10**9, 10**10)}"])
+        two = token(rng.randrange(18, 38))
+        if i % 2:
+            rows.append((i, f"{before}\n{one}\n{between}\n{two}\n{after}"))
+            want[i] = {one, two}
+        else:
+            rows.append((i, f"{before}\n{rng.choice([one, two, 'https://docs.example.com/guide'])}\n{after}"))
+    found = {r["doc_id"]: r["spans"] for r in secrets.scan(docs(spark, rows)).collect()}
+    texts = dict(rows)
+    hit = sum(bool({texts[i][s["start"] : s["end"]] for s in found[i]} >= parts) for i, parts in want.items())
+    assert hit >= 0.9 * len(want) and not any(found[i] for i in texts if i not in want)
+    assert secrets.scan(docs(spark, [])).count() == 0 and secrets.redact(docs(spark, [])).columns == docs(spark, []).columns
+
+
 def test_redact(spark):
     rows = [(1, "a token=abcdefgh b"), (2, None), (3, "clean")]
     assert {r["doc_id"]: r["text"] for r in secrets.redact(docs(spark, rows)).collect()} == {1: "a [secret] b", 2: None, 3: "clean"}
