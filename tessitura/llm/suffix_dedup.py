@@ -15,7 +15,7 @@ positions follow each other closely, longer passages are covered piece by piece.
 text repeats a word or a few words, equal suffixes follow each other at equal distances;
 they travel as one row with a distance and a number.
 
-Runs over ``most`` suffixes (a passage in a large part of all documents) do not stay in
+Runs of over ``most`` rows (a passage in a large part of all documents) do not stay in
 one task: their windows are counted by an aggregate that combines before the shuffle.
 
 Words are compared by hashes (64 bits for heads, 32 bits a word in extending).
@@ -132,7 +132,8 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("reach must be over 1 and at most min_words - gram + 1")
     id_type = documents.schema[id_col].dataType
     suffixes = retained_suffixes(documents, id_col=id_col, text_col=text_col, min_words=min_words, gram=gram, reach=reach)
-    equal = materialize(suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("m").alias("places")).where("places > 1"), "heads")
+    # n: rows with the words around them, of which equal places that follow each other make a few at their ends
+    equal = materialize(suffixes.groupBy("key").agg(F.sum(F.least("m", F.lit(min_words + reach - 1))).alias("n"), F.sum("m").alias("places")).where("places > 1"), "heads")
     texts = documents.select(_identity(id_col, text_col).alias("of"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     left, width = reach - 1, min_words + reach - 1
 
