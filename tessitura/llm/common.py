@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +36,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """``mapInArrow`` with large strings and binaries turned into ordinary ones."""
+    """``mapInArrow``: the one place where Python functions meet the plan."""
     return df.mapInArrow(function, schema)
 
 
-def id_type(df: DataFrame, column: str) -> T.DataType:
-    return df.schema[column].dataType
-
-
 # --- words as bytes -----------------------------------------------------------
 
 #: Odd multipliers of the rolling hashes, invertible modulo 2**64.
@@ -84,7 +80,13 @@ class Rolling:
         return mix((prefix[end] - prefix[start]) * self.down[start] + (end - start).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def chunks(texts: list[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def texts_of(column: pa.Array, rows: int = 256) -> Iterator[str | None]:
+    """A column's texts, of which a few are Python objects at a time."""
+    for a in range(0, len(column), rows):
+        yield from column.slice(a, rows).to_pylist()
+
+
+def chunks(texts: Iterable[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts as UTF-8 (null: empty), about ``limit`` bytes at a time: (first index, texts)."""
     first, part, size = 0, [], 0
     for i, text in enumerate(texts):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows, materialize
+from .common import map_rows, materialize, texts_of
 
 #: Of each byte: itself if it is in a word, in lower case, else a space.
 PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -129,7 +129,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
             built = held.get("built")
             for batch in batches:
                 rows = []
-                for n, text in enumerate(batch.column(1).to_pylist()):
+                for n, text in enumerate(texts_of(batch.column(1))):
                     found = words(text)
                     inside, ids = hits(built, found) if built and found else (np.zeros(len(found), bool), set())
                     if again:

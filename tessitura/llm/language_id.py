@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows
+from .common import map_rows, texts_of
 
 #: Runs of word characters that are no decimal digits; ``words_of`` leaves letters alone.
 RUN = re.compile(r"[^\W\d_]+")
@@ -169,7 +169,7 @@ def predict(documents: DataFrame, model: Model, *, id_col: str = "doc_id", text_
             held["scorer"] = Scorer(Model(*held["plain"]))
         scorer = held["scorer"]
         for batch in batches:
-            found = [scorer.predict(t) for t in batch.column(1).to_pylist()]
+            found = [scorer.predict(t) for t in texts_of(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=[id_col, "lang_pred", "score"])
 
     return map_rows(documents.select(id_col, text_col), run, schema)

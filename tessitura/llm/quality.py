@@ -35,7 +35,7 @@ string; an empty table gives no rows. ``select`` keeps all columns but one named
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize, mix
+from .common import BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize, mix, texts_of
 
 BITS, KINDS = 18, 4
 IS_WORD = np.ones(256, bool)
@@ -60,9 +60,9 @@ class Features:
     def __init__(self, bits: int = BITS):
         self.shift, self.bits, self.by_byte = np.uint64(64 - bits), bits, Rolling(BYTE_BASE)
 
-    def of(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def of(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(first document, words of each, a row of buckets for each kind, words that have a next one), some documents at a time."""
-        for first, part in chunks([(t or "").lower() for t in texts]):
+        for first, part in chunks((t or "").lower() for t in texts):
             data, starts, ends, per_text = find_words(part, IS_WORD)
             prefix = self.by_byte.prefix(data.astype(np.uint64) + np.uint64(1))
             word = self.by_byte.slices(prefix, starts, ends)
@@ -107,7 +107,7 @@ def frequencies(texts: DataFrame, text_col: str, bits: int = BITS) -> np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, total = Features(bits), np.zeros(size, np.int64)
         for batch in batches:
-            for _, _, buckets, has_next in features.of(batch.column(0).to_pylist()):
+            for _, _, buckets, has_next in features.of(texts_of(batch.column(0))):
                 total += np.bincount(np.concatenate([buckets[0], buckets[1][has_next], buckets[2], buckets[3]]), minlength=size)
         at = np.flatnonzero(total)
         for a in range(0, len(at), 1 << 16):
@@ -137,7 +137,7 @@ def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, weight_col: st
         features = Features(int(math.log2(len(table) // KINDS)))
         for batch in batches:
             weight = np.zeros(batch.num_rows)
-            for first, per_text, buckets, has_next in features.of(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
+            for first, per_text, buckets, has_next in features.of(texts_of(batch.column(batch.schema.get_field_index(text_col)))):
                 weight[first : first + len(per_text)] = worst_passages(table, per_text, buckets, has_next, passage)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], names=[*batch.schema.names, weight_col])
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_rows
+from .common import map_rows, texts_of
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -160,7 +160,7 @@ def scan(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, spans = [], []
-            for text in batch.column(1).to_pylist():
+            for text in texts_of(batch.column(1)):
                 base, extra = find(text, reach)
                 digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
                 spans.append([{"kind": k, "start": a, "end": b} for a, b, k in sorted([*base, *extra], key=lambda s: (s[0], KINDS.index(s[2]), s[1]))])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Forest, components, map_rows, materialize
+from .common import Forest, components, map_rows, materialize, texts_of
 
 
 def shingle_hashes(text: str | None, words: int, seed: int = 42) -> list[int]:
@@ -61,7 +61,7 @@ def fingerprints(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, words) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
+            fps = np.fromiter((fingerprint(t, words) for t in texts_of(batch.column(1))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
 
     return map_rows(documents.select(id_col, text_col), run, schema)

@@ -29,7 +29,7 @@ a repeat are returned. Other columns are left out of ``repeats``, kept by ``dedu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_BASE, BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize
+from .common import WORD_BASE, BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize, texts_of
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -75,7 +75,7 @@ class Words:
         self.min_words, self.gram, self.reach = min_words, gram, reach
         self.by_byte, self.by_word = Rolling(BYTE_BASE), Rolling(WORD_BASE)
 
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+    def texts(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray]]:
         """(index, word hashes) of each text."""
         for first, part in chunks(texts):
             data, starts, ends, per_text = find_words(part, IS_WORD)
@@ -110,7 +110,7 @@ def retained_suffixes(documents: DataFrame, *, id_col: str, text_col: str, min_w
         words = Words(min_words, gram, reach)
         for batch in batches:
             docs, pos, keys, of, many, steps = batch.column(0).to_numpy(zero_copy_only=False), [], [], [], [], []
-            for i, hashes in words.texts(batch.column(1).to_pylist()):
+            for i, hashes in words.texts(texts_of(batch.column(1))):
                 at, head, m, step = words.retained(hashes)
                 of.append(np.full(len(at), docs[i]))
                 pos.append(at)
@@ -142,7 +142,7 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         words = Words(min_words, gram, reach)
         for batch in batches:
             pos, key, many, steps = (batch.column(k) for k in range(2, 6))
-            for i, hashes in words.texts(batch.column(6).to_pylist()):
+            for i, hashes in words.texts(texts_of(batch.column(6))):
                 m, step = many[i].values.to_numpy(), steps[i].values.to_numpy()
                 row = np.repeat(np.arange(len(m)), m)
                 # the places of each row, one after the other
