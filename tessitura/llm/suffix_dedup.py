@@ -16,7 +16,9 @@ text repeats a word or a few words, equal suffixes follow each other at equal di
 they travel as one row with a distance and a number.
 
 Runs of over ``most`` rows (a passage in a large part of all documents) do not stay in
-one task: their windows are counted by an aggregate that combines before the shuffle.
+one task: their windows are counted by an aggregate that combines before the shuffle. By
+default that is twice a task's fair share, 2,000 at least and 50,000 (16 MB) at most; it
+decides where the work is done and not the result.
 
 Words are compared by hashes (64 bits for heads, 32 bits a word in extending).
 
@@ -39,6 +41,8 @@ from pyspark.sql import types as T
 
 from .common import WORD_BASE, BYTE_BASE, Rolling, chunks, find_words, map_rows, materialize, texts_of
 
+#: Bounds of the rows that a run may have in one task.
+LEAST_ROWS, MOST_ROWS = 2_000, 50_000
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 
@@ -123,7 +127,7 @@ def retained_suffixes(documents: DataFrame, *, id_col: str, text_col: str, min_w
     return map_rows(documents.select(_identity(id_col, text_col).alias("doc"), F.col(text_col)), run, T._parse_datatype_string("key long, doc long, pos int, m int, step int"))
 
 
-def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, reach: int = 30, most: int = 2_000) -> DataFrame:
+def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, gram: int = 8, reach: int = 30, most: int | None = None) -> DataFrame:
     """(id, doc, n_words, spans, later): word spans in repeated passages, and of copies after the first.
 
     Spans are arrays of (start, end) in words, end exclusive, merged and in order.
@@ -132,8 +136,11 @@ def repeats(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("reach must be over 1 and at most min_words - gram + 1")
     id_type = documents.schema[id_col].dataType
     suffixes = retained_suffixes(documents, id_col=id_col, text_col=text_col, min_words=min_words, gram=gram, reach=reach)
-    # n: rows with the words around them, of which equal places that follow each other make a few at their ends
-    equal = materialize(suffixes.groupBy("key").agg(F.sum(F.least("m", F.lit(min_words + reach - 1))).alias("n"), F.sum("m").alias("places")).where("places > 1"), "heads")
+    # n: rows with the words around them; equal places that follow each other differ only near their ends
+    equal = materialize(suffixes.groupBy("key").agg(F.sum(F.least(F.col("m"), F.floor(2 * (reach - 1) / F.col("step")) + 2)).alias("n"), F.sum("m").alias("places")).where("places > 1"), "heads")
+    if most is None:
+        share = (equal.agg(F.sum("n")).first()[0] or 0) * 2 // int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = min(MOST_ROWS, max(LEAST_ROWS, share))
     texts = documents.select(_identity(id_col, text_col).alias("of"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     left, width = reach - 1, min_words + reach - 1
 

@@ -58,7 +58,7 @@ def brute_repeats(rows, size=50):
     return {i: (hit[i], later[i]) for i in hit}
 
 
-@pytest.mark.parametrize(("seed", "most"), [(1, 20_000), (2, 3), (3, 20_000)])
+@pytest.mark.parametrize(("seed", "most"), [(1, None), (2, 3), (3, 20_000)])
 def test_suffix_repeats(spark, seed, most):
     rows = word_texts(seed) + [(900, None), (901, ""), (None, "a b"), (902, "x " * 200), (903, "y " * 49), (904, "z " * 50), (907, "a b " * 90), (908, "q " + "a b " * 70), (909, "a b c " * 40 + "d"), (910, "a b a c " * 30)]
     rows += [(905, rows[4][1]), (905, rows[4][1]), (906, rows[4][1])]
