@@ -259,24 +259,36 @@ def mel_scale(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.round(signal.hz_to_mel(F.col("p_retailprice")), 6).alias("mel"), F.round(signal.mel_to_hz(F.col("p_size").cast("double")), 6).alias("hz"))
 
 
-@query()
+@query("""WITH p AS (SELECT i, 700 * (pow(10, (m0 + (m1 - m0) * i / 81) / 2595) - 1) AS hz FROM (SELECT unnest(range(82)) AS i, 2595 * log10(1 + 20.0::DOUBLE / 700) AS m0, 2595 * log10(1 + 8000.0::DOUBLE / 700) AS m1)),
+n AS (SELECT i, CAST(round(hz / 31.25) AS INTEGER) AS at FROM p), t AS (SELECT a.i AS mel, a.at AS a, b.at AS b, c.at AS c FROM n a JOIN n b ON b.i = a.i + 1 JOIN n c ON c.i = a.i + 2),
+w AS (SELECT mel, k, greatest(CASE WHEN a < b AND k BETWEEN a AND b THEN (k - a) / (b - a) ELSE 0 END, CASE WHEN b < c AND k BETWEEN b AND c THEN (c - k) / (c - b) ELSE 0 END) AS weight FROM t, (SELECT unnest(range(257)) AS k))
+SELECT CAST(mel AS INTEGER) AS mel, CAST(k AS INTEGER) AS bin, round(weight::DOUBLE, 5) AS weight FROM w WHERE weight > 0""")
 def mel_bank(spark, sf_dir):
     bank = signal.filterbank()
     at = np.argwhere(bank > 0)
-    return spark.createDataFrame([(int(m), int(k), float(bank[m, k])) for m, k in at], "mel int, bin int, weight double")
+    return spark.createDataFrame([(int(m), int(k), round(float(bank[m, k]), 5)) for m, k in at], "mel int, bin int, weight double")
 
 
 @query()
 def fbank(spark, sf_dir):
     samples = F.flatten(F.array_repeat("embedding", 20))
     found = table(spark, sf_dir, "embeddings").select("vec_id", signal.log_mel_features(samples).alias("f"))
-    return found.select("vec_id", F.size("f").alias("n_mels"), F.size(F.col("f")[0]).alias("frames"), F.round(F.col("f")[0][0].cast("double"), 3).alias("first"))
+    return found.select("vec_id", F.size("f").alias("n_mels"), F.size(F.col("f")[0]).alias("frames"), F.transform(F.flatten("f"), lambda v: F.round(v.cast("double"), 3)).alias("values"))
+
+
+def _digest(values: F.Column) -> list[F.Column]:
+    """Two numbers that depend on every value and its place."""
+    add = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda t, v: t + v), 5)
+    return [add(F.transform(values, lambda v, i: v * (i + 1))).alias("weighted"), add(F.transform(values, lambda v, i: v * v * v * F.pmod(i, F.lit(7)))).alias("cubes")]
+
+
+DIGEST = "round(list_sum(list_transform({z}, lambda v, i: v * i)), 5) AS weighted, round(list_sum(list_transform({z}, lambda v, i: v * v * v * ((i - 1) % 7))), 5) AS cubes"
 
 
-@query("SELECT vec_id, round((x[1] - list_avg(x)) / (list_stddev_pop(x) + 1e-9), 6) AS first, round((x[64] - list_avg(x)) / (list_stddev_pop(x) + 1e-9), 6) AS last FROM (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings)")
+@query(f"WITH d AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE) AS x FROM embeddings), z AS (SELECT vec_id, list_transform(x, lambda v: (v - list_avg(x)) / (list_stddev_pop(x) + 1e-9)) AS z FROM d) SELECT vec_id, len(z)::INTEGER AS n, {DIGEST.format(z='z')} FROM z")
 def standardize(spark, sf_dir):
     out = table(spark, sf_dir, "embeddings").select("vec_id", signal.standardize(F.col("embedding")).alias("z"))
-    return out.select("vec_id", F.round(F.col("z")[0], 6).alias("first"), F.round(F.col("z")[63], 6).alias("last"))
+    return out.select("vec_id", F.size("z").alias("n"), *_digest(F.col("z")))
 
 
 # --- vectors ---
@@ -288,9 +300,10 @@ def _unit(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("label").alias("recording_id"), F.col("vec_id").alias("seq"), vectors.normalize(F.col("embedding")).alias("embedding"))
 
 
-@query(f"WITH {UNIT} SELECT vec_id, round(sqrt(list_dot_product(x, x)), 6) AS norm, round(x[1] / sqrt(list_dot_product(x, x)), 6) AS first FROM u")
+@query(f"WITH {UNIT}, z AS (SELECT vec_id, sqrt(list_dot_product(x, x)) AS norm, list_transform(x, lambda v: v / sqrt(list_dot_product(x, x))) AS z FROM u) SELECT vec_id, round(norm, 6) AS norm, {DIGEST.format(z='z')} FROM z")
 def l2_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(vectors.norm(F.col("embedding")), 6).alias("norm"), F.round(vectors.normalize(F.col("embedding"))[0], 6).alias("first"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.round(vectors.norm(F.col("embedding")), 6).alias("norm"), vectors.normalize(F.col("embedding")).cast("array<double>").alias("z"))
+    return rows.select("vec_id", "norm", *_digest(F.col("z")))
 
 
 @query(f"WITH {UNIT}, n AS (SELECT sqrt(list_dot_product(x, x)) AS v FROM u) SELECT round(min(v), 5) AS min_norm, round(max(v), 5) AS max_norm, round(avg(v), 5) AS mean_norm, bool_and(abs(v - 1) <= 1e-5) AS unit FROM n")
