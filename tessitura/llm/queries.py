@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
+from . import band_join, decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +129,28 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, items = table(spark, sf_dir, "sale_lines"), table(spark, sf_dir, "items")
+    points = lines.select("sale_id", "line_no", "item_id", band_join.unit_cents(band_join.cents(F.col("amount")), F.col("quantity")).alias("u"))
+    return band_join.band_join(points, items.select("item_id", band_join.cents(F.col("price")).alias("p")), k=5, least=10, per_mille=2)
+
+
+# crc32 by its table of 256 remainders, a code point at a time
+OP12_SQL = """
+WITH a AS (SELECT sale_id, line_no, item_id, CAST(quantity AS BIGINT) AS q, CASE WHEN isfinite(amount) THEN CAST(floor(100 * amount + 0.5) AS BIGINT) END AS a FROM sale_lines),
+b AS (SELECT sale_id, line_no, item_id, CASE WHEN q < 0 THEN -(2 * a + q) ELSE 2 * a + q END AS x, 2 * abs(q) AS y FROM a WHERE sale_id IS NOT NULL AND item_id IS NOT NULL AND q <> 0 AND a IS NOT NULL),
+t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+l AS (SELECT sale_id, line_no, item_id, (x - ((x % y) + y) % y) // y AS u, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(sale_id || ',' || coalesce(CAST(line_no AS VARCHAR), '') || ',' || item_id, ''), lambda h: CAST(ascii(h) AS BIGINT))), lambda c, d: xor(c >> 8, tab[xor(c & 255, d) + 1])), 4294967295) AS crc FROM b, t),
+i AS (SELECT row_number() OVER () AS k, item_id, CASE WHEN isfinite(price) THEN CAST(floor(100 * price + 0.5) AS BIGINT) END AS p FROM items),
+w AS (SELECT *, p - greatest(10, p * 2 // 1000) AS lo, p + greatest(10, p * 2 // 1000) AS hi FROM i),
+j AS (SELECT k, abs(u - p) AS gap, u, sale_id, line_no, l.item_id AS line_item_id, crc FROM w JOIN l ON u >= lo AND u <= hi WHERE l.item_id <> w.item_id),
+s AS (SELECT k, count(*) AS n_pairs, CAST(sum(gap) AS BIGINT) AS gap_sum, CAST(sum(crc) AS BIGINT) AS lines_crc FROM j GROUP BY k),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY k ORDER BY gap, u, sale_id, line_no NULLS FIRST, line_item_id) AS INTEGER) AS rank FROM j)
+SELECT i.item_id, coalesce(rank, 0) AS rank, gap, u, sale_id, CAST(line_no AS BIGINT) AS line_no, line_item_id, coalesce(n_pairs, 0) AS n_pairs, coalesce(gap_sum, 0) AS gap_sum, coalesce(lines_crc, 0) AS lines_crc
+FROM i LEFT JOIN s USING (k) LEFT JOIN (SELECT * FROM r WHERE rank <= 5) USING (k)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -140,5 +162,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_html_extract": op10_html_extract,
+    "op12_band_join": op12_band_join,
 }
-ORACLE: dict[str, str] = {"op1_suffix_dedup": OP1_SQL, "op7_embedding_dedup": OP7_SQL, "op2_decontaminate": OP2_SQL, "op5_line_dedup": OP5_SQL, "op9_mixing": OP9_SQL}
+ORACLE: dict[str, str] = {"op1_suffix_dedup": OP1_SQL, "op7_embedding_dedup": OP7_SQL, "op2_decontaminate": OP2_SQL, "op5_line_dedup": OP5_SQL, "op9_mixing": OP9_SQL, "op12_band_join": OP12_SQL}
