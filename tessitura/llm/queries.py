@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import band_join, decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
+from . import band_join, decontaminate, divergence, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -151,6 +151,28 @@ FROM i LEFT JOIN s USING (k) LEFT JOIN (SELECT * FROM r WHERE rank <= 5) USING (
 """
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, most_terms=50)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT i, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, source, w.term),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (coalesce(t.total, 0) + 5 * v.v) AS p, 1 + CAST(1000000000 AS HUGEINT) * (k.n + 5) // (v.total + 5 * v.v) AS q
+  FROM g JOIN k ON g.lang = k.lang JOIN v ON v.lang = g.lang LEFT JOIN t ON t.lang = g.lang AND t.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -163,5 +185,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_html_extract": op10_html_extract,
     "op12_band_join": op12_band_join,
+    "op13_divergence": op13_divergence,
 }
-ORACLE: dict[str, str] = {"op1_suffix_dedup": OP1_SQL, "op7_embedding_dedup": OP7_SQL, "op2_decontaminate": OP2_SQL, "op5_line_dedup": OP5_SQL, "op9_mixing": OP9_SQL, "op12_band_join": OP12_SQL}
+ORACLE: dict[str, str] = {"op1_suffix_dedup": OP1_SQL, "op7_embedding_dedup": OP7_SQL, "op2_decontaminate": OP2_SQL, "op5_line_dedup": OP5_SQL, "op9_mixing": OP9_SQL, "op12_band_join": OP12_SQL, "op13_divergence": OP13_SQL}
