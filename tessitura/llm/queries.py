@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import band_join, decontaminate, divergence, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
+from . import band_join, decontaminate, divergence, embedding_dedup, html_extract, language_id, license_scan, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +129,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op12_band_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, items = table(spark, sf_dir, "sale_lines"), table(spark, sf_dir, "items")
     points = lines.select("sale_id", "line_no", "item_id", band_join.unit_cents(band_join.cents(F.col("amount")), F.col("quantity")).alias("u"))
@@ -184,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_html_extract": op10_html_extract,
+    "op11_license_scan": op11_license_scan,
     "op12_band_join": op12_band_join,
     "op13_divergence": op13_divergence,
 }
