@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges
+
 UNKNOWN = "[unknown]"
 
 
@@ -45,18 +47,24 @@ def min_duration(segments: DataFrame, start: str = "start_s", end: str = "end_s"
     return segments.where(F.col(end) - F.col(start) >= least)
 
 
-def merge_gaps(segments: DataFrame, gap_s: float = 0.5) -> DataFrame:
-    """Neighbouring segments of one speaker with a gap under ``gap_s`` become one.
+def merged(segments: DataFrame, gap_s: float = 0.5, parts: int | None = None) -> DataFrame:
+    """(recording_id, start, seg_idx of the first, end, speaker): neighbouring segments of one speaker with a gap under ``gap_s`` as one.
 
     Order is (start, seg_idx) over the whole recording: another speaker between ends a run.
     The merged end is that of the run's last segment, even if an earlier one ends later.
     """
-    order = Window.partitionBy("recording_id").orderBy("start", "seg_idx")
-    same = (F.col("speaker") == F.lag("speaker").over(order)) & (F.col("start") - F.lag("end").over(order) < gap_s)
-    marked = segments.withColumn("__new", F.when(same, 0).otherwise(1))
-    island = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    grouped = marked.withColumn("island", island).groupBy("recording_id", "island")
-    return grouped.agg(F.min("start").alias("start"), F.max_by("end", F.struct("start", "seg_idx")).alias("end"), F.first("speaker").alias("speaker"))
+    joins = (F.col("speaker") == F.col("before_speaker")) & (F.col("start") - F.col("before_end") < gap_s)
+    order = F.struct("start", "seg_idx")
+    return ranges.islands(segments, "recording_id", ["start", "seg_idx"], joins, {"end": F.max_by("end", order), "speaker": F.max_by("speaker", order)}, parts)
+
+
+def merge_gaps(segments: DataFrame, gap_s: float = 0.5, parts: int | None = None) -> DataFrame:
+    """(recording_id, island, start, end, speaker): merged segments, numbered from 1 in each recording.
+
+    Neither step puts a recording into one task: both go by ranges of the whole order.
+    """
+    found = ranges.numbered(merged(segments, gap_s, parts), "recording_id", ["start", "seg_idx"], "island", parts)
+    return found.select("recording_id", (F.col("island") + 1).alias("island"), "start", "end", "speaker")
 
 
 def speaker_counts(segments: DataFrame) -> DataFrame:

@@ -9,18 +9,19 @@ languages are the documents' own, vectors are embeddings with their label as rec
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from ..functions import formatting as fmt
 from ..functions import language, metrics, signal, vectors
 from ..operators import clustering, frames, intervals, lines
-from ..sources import inputs
+from ..sources import inputs, schemas
 from ..sources import models as model_roles
+from ..storage import shared_folder
 from . import diarize, job, run
 from .validate import DEFAULT_CANDIDATES, validated
 
@@ -341,14 +342,6 @@ def cluster_invariants(spark, sf_dir):
     return found.groupBy("recording_id").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("cluster").alias("clusters"), F.max("cluster").cast("long").alias("last_label"), F.min(F.when(F.col("cluster") == 0, F.col("seq"))).alias("first_of_zero"))
 
 
-@query()
-def diarize_events(spark, sf_dir):
-    raw = segments(spark, sf_dir).select("recording_id", F.col("seg_idx").alias("seq"), F.col("start").alias("start_s"), F.col("end").alias("end_s"))
-    made = raw.select("recording_id", "seq", F.array(*(F.sin(F.col("seq") * (k + 1)) for k in range(4))).alias("embedding"))
-    unit = made.withColumn("embedding", vectors.normalize(F.col("embedding")))
-    return diarize.diarize(raw, unit, min_similarity=0.8)
-
-
 @query("SELECT vec_id, label, dense_rank() OVER (ORDER BY label) - 1 AS cluster FROM embeddings")
 def label_remap(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
@@ -542,6 +535,17 @@ def worker_info(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", F.explode(inputs.worker_gpus(text)).alias("g")).select("n_nationkey", "g.name", "g.memory_mb", "g.driver_version", "g.cuda_version")
 
 
+class _Ticks:
+    """A clock that goes on by a second whenever it is read, so that each call of a role takes one."""
+
+    def __init__(self) -> None:
+        self.now = 0.0
+
+    def __call__(self) -> float:
+        self.now += 1
+        return self.now
+
+
 def _stub_roles() -> run.Roles:
     """Deterministic stand-ins: ten samples a second, as many seconds as the URL has letters."""
 
@@ -553,19 +557,10 @@ def _stub_roles() -> run.Roles:
 
     return run.Roles(
         detect=lambda samples: ("es", 0.8), diarize=speakers, transcribe=transcribe, text_language=lambda text: ("en" if "base" in text else "pt", 0.75),
-        fetch=lambda url: url.encode(), decode=lambda content: np.zeros(10 * len(content), np.float32), rate=10, chunk_samples=200,
+        fetch=lambda url: url.encode(), decode=lambda content: np.zeros(10 * len(content), np.float32), rate=10, chunk_samples=200, block_samples=150, clock=_Ticks(),
     )
 
 
-def _work(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tessitura-")
-    return folder
-
-
 # a URL of 19 or 18 letters is a file of as many seconds; in fixed_chunk, chunks of 20 s are diarized on their own
 ANSWERS = """j AS (SELECT o_orderkey AS id, o_orderkey % 8 AS k, o_orderpriority FROM orders),
 e AS (SELECT id, k, CASE WHEN k = 7 THEN o_orderpriority ELSE 'recording' END AS recording_id, CASE k WHEN 0 THEN 'Event must contain ''input'' field.' WHEN 3 THEN 'Either ''audio_url'' or ''audio_urls'' input is required.' WHEN 6 THEN '''model_sizes'' must be a non-empty array.' WHEN 4 THEN 'Unknown diarization_mode ''x''.' END AS error,
@@ -580,7 +575,7 @@ d AS (SELECT id, k, recording_id, model, count(*) AS n, string_agg(stamp || '  '
 SELECT e.id::VARCHAR AS id, recording_id, error, CASE WHEN error LIKE 'Unknown%' THEN 'Supported: whole_day, fixed_chunk' END AS detail, CASE WHEN error IS NULL THEN 'pt' END AS detected_language, CASE WHEN error IS NULL THEN round(0.8::DOUBLE * 0.7::DOUBLE, 4) END AS language_probability,
 CASE WHEN error IS NOT NULL THEN -1 WHEN k = 7 THEN 4 ELSE 2 END AS num_speakers, s::DOUBLE AS audio_duration_s, CASE WHEN s = 37 THEN '19.0,18.0' WHEN s = 19 THEN '19.0' END AS file_durations, texts FROM e LEFT JOIN x ON e.id = x.id""")
 def job_answers(spark, sf_dir):
-    made, _ = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), _work(spark))
+    made, _ = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), shared_folder(spark))
     text = lambda kv: F.concat_ws(":", kv["key"], kv["value"]["transcript_lines"].cast("string"), F.md5(kv["value"]["transcript"]), F.md5(kv["value"]["labeled_transcript"]))
     texts = F.when(F.col("models").isNotNull(), F.array_join(F.array_sort(F.transform(F.map_entries("models"), text)), ","))
     durations = F.when(F.col("file_durations_s").isNotNull(), F.array_join(F.col("file_durations_s").cast("array<string>"), ","))
@@ -593,11 +588,73 @@ h AS (SELECT id, recording_id, '{{"segments":[' || string_agg('{{"start":' || cu
 f AS (SELECT *, CASE WHEN model LIKE '%base%' THEN 'en' ELSE 'pt' END AS lang FROM d)
 SELECT id::VARCHAR AS id, recording_id || '_transcript_' || model || '.txt' AS filename, md5(transcript) AS content_md5 FROM d UNION ALL SELECT id::VARCHAR, recording_id || '_labeled_' || model || '.txt', md5(labeled) FROM d
 UNION ALL SELECT id::VARCHAR, recording_id || '_language_flags_' || model || '.json', md5('{{"model":"' || model || '","overall_detected_language":"' || lang || '","overall_confidence":0.75,"window_flags":[{{"start_line":0,"end_line":' || (n - 1) || ',"detected_language":"' || lang || '","confidence":0.75,"flag":null}}]}}') FROM f
-UNION ALL SELECT id::VARCHAR, recording_id || '_run_summary.json', md5('{{"recording_id":"' || recording_id || '","model_sizes":["' || array_to_string(models, '","') || '"],"detected_language":"pt","language_probability":0.56,"audio_duration_s":' || s || '.0,"file_durations_s":[' || CASE WHEN s = 37 THEN '19.0,18.0' ELSE '19.0' END || '],"num_files":' || CASE WHEN s = 37 THEN 2 ELSE 1 END || ',"num_speakers":' || speakers || ',"cluster_threshold":0.5,"diarization_mode":"' || mode || '","cpu_only":true,"job_id":"' || id || '"}}') FROM p
+UNION ALL SELECT id::VARCHAR, recording_id || '_run_summary.json', md5('{{"recording_id":"' || recording_id || '","model_sizes":["' || array_to_string(models, '","') || '"],"detected_language":"pt","language_probability":0.56,"audio_duration_s":' || s || '.0,"file_durations_s":[' || CASE WHEN s = 37 THEN '19.0,18.0' ELSE '19.0' END
+ || '],"file_metadata":[' || array_to_string(list_transform(CASE WHEN s = 37 THEN ['a.opus', 'b.wav'] ELSE ['a.opus'] END, lambda x: '{{"filename":"' || x || '","duration_s":0.0,"creation_time_utc":null,"size_bytes":null,"format_name":null}}'), ',') || '],"num_files":' || n || ',"num_speakers":' || speakers || ',"cluster_threshold":0.5,"diarization_mode":"' || mode
+ || '","cpu_only":true,"timing":{{"audio_download_s":' || n || '.0,"diarization_s":' || u || '.0,"language_detection_s":1.0,' || array_to_string(list_transform(list_sort(models), lambda x: '"transcription_' || replace(x, '.', '_') || '_s":1.0'), ',') || ',"total_s":' || n + u + 1 + len(models) || '.0,"rtf_total":' || round((n + u + 1 + len(models))::DOUBLE / s, 4) || ',' || array_to_string(list_transform(list_sort(models), lambda x: '"rtf_transcription_' || replace(x, '.', '_') || '":' || round(1::DOUBLE / s, 4)), ',')
+ || '}},"job_id":"' || id || '","worker":{{}},"cost_estimate_usd":null}}') FROM (SELECT *, CASE WHEN s = 37 THEN 2 ELSE 1 END AS n, CASE WHEN k = 7 THEN 2 ELSE 1 END AS u FROM p)
 UNION ALL SELECT id::VARCHAR, recording_id || '_diarization.json', md5(c) FROM h
 UNION ALL SELECT id::VARCHAR, recording_id || '_segment_metadata_' || model || '.json', md5('{{"model":"' || model || '","detected_language":"pt","language_probability":0.56,"segments":[' || string_agg('{{"start":' || t || '.0,"end":' || least(t + 10, s) || '.0,"no_speech_prob":0.1,"avg_logprob":-0.2,"compression_ratio":1.5,"temperature":0.0,"text":"' || text || '"}}', ',' ORDER BY t) || ']}}') FROM w GROUP BY id, recording_id, model""")
 def job_artifacts(spark, sf_dir):
-    _, made = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), _work(spark))
+    _, made = run.answers(_jobs(spark, sf_dir).withColumn("id", F.col("id").cast("string")), _stub_roles(), shared_folder(spark))
     # what the pretty printer adds between tokens goes, so that documents compare whole
     compact = F.regexp_replace(F.regexp_replace(F.regexp_replace("content", r"\n\s*", ""), r'(?<=") : ', ":"), r'(?<=[\[\]{}"0-9,]) (?=[\]\[{}"0-9-])', "")
     return made.select(F.col("recording_id").alias("id"), "filename", F.md5(F.when(F.col("filename").like("%.json"), compact).otherwise(F.col("content"))).alias("content_md5"))
+
+
+@query(f"""WITH {ANSWERS.replace("o_orderkey AS id,", "o_orderkey AS n, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey // 3)::VARCHAR END AS id,").replace("SELECT id, k,", "SELECT n, id, k,")}
+SELECT id, recording_id, error, CASE WHEN error IS NOT NULL THEN -1 WHEN k = 7 THEN 4 ELSE 2 END AS num_speakers, coalesce(s, -1)::DOUBLE AS audio_duration_s, coalesce(len(models), 0)::INTEGER AS n_models,
+CASE WHEN error IS NULL THEN CASE WHEN s = 37 THEN 2 ELSE 1 END + CASE WHEN k = 7 THEN 2 ELSE 1 END + 1 + len(models) ELSE 0 END::DOUBLE AS total_s FROM e""")
+def job_repeats(spark, sf_dir):
+    """Ids that several events share, and events without one: each has its own answer."""
+    given = F.when(F.col("id") % 5 != 0, F.floor(F.col("id") / 3).cast("string"))
+    made, _ = run.answers(_jobs(spark, sf_dir).withColumn("id", given), _stub_roles(), shared_folder(spark))
+    return made.select("id", "recording_id", "error", F.coalesce("num_speakers", F.lit(-1)).alias("num_speakers"), F.coalesce("audio_duration_s", F.lit(-1.0)).alias("audio_duration_s"), F.coalesce(F.size("models"), F.lit(0)).alias("n_models"), F.coalesce(F.try_element_at("timing", F.lit("total_s")), F.lit(0.0)).alias("total_s"))
+
+
+def _planted_roles() -> run.Roles:
+    """Sounds of 100 samples a second, made of parts of three seconds: the k-th of sound n is silence, speaker 1 or speaker 2 as (n + k k) % 3 says.
+
+    Speakers are told by loudness; blocks are shorter than windows and end within parts.
+    """
+
+    def decode(content: bytes):
+        n = int(content)
+        for k in range(n % 11 + 4):
+            yield np.full(300, (n + k * k) % 3 * 0.1, np.float32)
+
+    def segment(window: np.ndarray) -> np.ndarray:
+        return np.eye(7)[np.rint(window.reshape(100, -1).mean(axis=1) * 10).astype(int)]
+
+    def embed(features: np.ndarray) -> np.ndarray:
+        return np.eye(3)[int(np.rint(features.mean() * 10))]
+
+    return run.Roles(
+        detect=lambda samples: ("en", 1.0), fetch=lambda url: url.split("/")[-1].encode(), decode=decode, transcribe=lambda samples, model: [], rate=100, block_samples=770, chunk_samples=1500,
+        engine=diarize.Engine(segment=segment, features=lambda x: x[None, :], embed=embed, size=1000, rate=100),
+    )
+
+
+def _planted_jobs(spark, sf_dir) -> DataFrame:
+    none = F.lit(None)
+    fields = {"audio_url": F.concat(F.lit("https://host/"), F.col("s_suppkey").cast("string")), "diarization_mode": F.when(F.col("s_suppkey") % 4 == 3, "fixed_chunk")}
+    body = F.struct(*(fields.get(f.name, none.cast(f.dataType)).alias(f.name) for f in _parse_datatype_string(schemas.JOB)["input"].dataType))
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), body.alias("input"))
+
+
+# units are recordings or chunks of 15 s; windows of 10 s cut speech, gap merging joins it again;
+# a unit's speakers are named in the order of their first interval by window, local speaker and start
+PLANTED = """p AS (SELECT s_suppkey AS n, unnest(range(0, s_suppkey % 11 + 4)) AS k, CASE WHEN s_suppkey % 4 = 3 THEN 15 ELSE 1000 END AS size FROM supplier),
+q AS (SELECT n, k // (size // 3) AS unit, k % (size // 3) * 3 AS b, size, (n + k * k) % 3 AS speaker FROM p),
+v AS (SELECT n, unit, size, speaker, b, speaker - coalesce(lag(speaker) OVER (PARTITION BY n, unit ORDER BY b), -1) <> 0 AS new FROM q),
+i AS (SELECT *, sum(new::INTEGER) OVER (PARTITION BY n, unit ORDER BY b) AS island FROM v),
+s AS (SELECT n, unit, size, speaker, min(b) AS b, max(b) + 3 AS e FROM i WHERE speaker > 0 GROUP BY n, unit, size, island, speaker),
+f AS (SELECT n, unit, speaker, min(b // 10 * 1000000 + speaker * 1000 + b % 10) AS first FROM s GROUP BY n, unit, speaker),
+g AS (SELECT n, unit, speaker, row_number() OVER (PARTITION BY n, unit ORDER BY first) - 1 AS label, count(*) OVER (PARTITION BY n, unit) AS held FROM f),
+o AS (SELECT n, unit, coalesce(sum(held) OVER (PARTITION BY n ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM (SELECT DISTINCT n, unit, held FROM g))"""
+
+
+@query(f"""WITH {PLANTED} SELECT s.n::VARCHAR AS id, (unit * size + b)::DOUBLE AS start, (unit * size + e)::DOUBLE AS "end", printf('speaker_%02d', label + before) AS speaker FROM s JOIN g USING (n, unit, speaker) JOIN o USING (n, unit)""")
+def diarize_blocks(spark, sf_dir):
+    """The engine's own diarization of jobs whose recordings lie as blocks."""
+    made, _ = run.answers(_planted_jobs(spark, sf_dir), _planted_roles(), shared_folder(spark))
+    return made.select("id", F.explode("diarization_segments").alias("x")).select("id", "x.start", "x.end", "x.speaker")
