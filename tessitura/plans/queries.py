@@ -18,7 +18,7 @@ from pyspark.sql.types import _parse_datatype_string
 
 from ..functions import formatting as fmt
 from ..functions import language, metrics, signal, vectors
-from ..operators import clustering, frames, intervals, lines
+from ..operators import clustering, frames, intervals, lines, nearest
 from ..sources import inputs, schemas
 from ..sources import models as model_roles
 from ..storage import shared_folder
@@ -323,7 +323,7 @@ def cosine_pairs(spark, sf_dir):
 
 @query(f"WITH {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY similarity DESC, i, j) AS k FROM q) SELECT recording_id, i, j, round(similarity, 6) AS similarity FROM r WHERE k = 1")
 def best_merge(spark, sf_dir):
-    return clustering.best_merge(clustering.pairs(_unit(spark, sf_dir))).withColumn("similarity", F.round("similarity", 6))
+    return nearest.best_pair(_unit(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query()
