@@ -13,13 +13,15 @@ what is seen in target text and to what raw text makes one expect, so that a rar
 says little. Ratios are neither cut nor clipped.
 
 A text is resampled whole, so it is worth no more than its worst passage: its log weight is
-the smallest sum of log ratios over ``passage`` consecutive words (all of them in a shorter
-text). Without passages, long clean text outvotes any few bad words in it, and a mean over
-the text dilutes them.
+the smallest sum of log ratios over as many consecutive words as the longest of ``passages`` (all of
+them in a shorter text), or over shorter ones, these times the root of how often the shorter goes into the
+longest, as sums of words that say nothing grow by that root. Without passages, long clean text outvotes
+any few bad words in it, and a mean over the text dilutes them; ten words alone dilute a single bad one
+where the target sample is small.
 
 Selection is by Gumbel top-k: log weight plus ``temperature`` times a Gumbel variable
 seeded by a hash of the id, the k largest. At temperature 1 that samples k documents
-without replacement in proportion to their weights. k is the number of documents whose
+without replacement in proportion to their weights. k is ``size`` if given, else the number of documents whose
 weight reaches the cut that separates the rest of the labelled sample, which the target
 model has not seen, best among those that keep ``keep_good`` of its good documents. The
 k-th largest value is found by counting, without collecting or sorting all of them.
@@ -50,8 +52,8 @@ BITS, KINDS = 18, 4
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 HEAD_BYTES, TAIL_BYTES = 4, 2
-#: Words of a passage.
-PASSAGE = 10
+#: Words of the passages that are looked at.
+PASSAGES = (2, 10)
 
 
 class Features:
@@ -75,16 +77,18 @@ class Features:
             yield first, per_text, hashes.astype(np.int64) + (np.arange(KINDS, dtype=np.int64)[:, None] << self.bits), has_next
 
 
-def worst_passages(ratio: np.ndarray, per_text: np.ndarray, buckets: np.ndarray, has_next: np.ndarray, passage: int) -> np.ndarray:
-    """Of each document: the smallest sum of log ratios over ``passage`` consecutive words."""
+def worst_passages(ratio: np.ndarray, per_text: np.ndarray, buckets: np.ndarray, has_next: np.ndarray, passages: tuple[int, ...]) -> np.ndarray:
+    """Of each document: the smallest sum of log ratios over a passage, shorter ones scaled to the longest."""
     by_word = ratio[buckets[0]].astype(np.float64) + np.where(has_next, ratio[buckets[1]], 0) + ratio[buckets[2]] + ratio[buckets[3]]
     total = np.concatenate(([0.0], np.cumsum(by_word)))
     stop = np.cumsum(per_text)
     doc = np.repeat(np.arange(len(per_text)), per_text)
     at = np.arange(len(by_word))
-    whole = np.flatnonzero((at + passage <= stop[doc]) | (at == (stop - per_text)[doc]))
     out = np.where(per_text > 0, np.inf, 0.0)
-    np.minimum.at(out, doc[whole], total[np.minimum(whole + passage, stop[doc[whole]])] - total[whole])
+    for passage in passages:
+        whole = np.flatnonzero((at + passage <= stop[doc]) | (at == (stop - per_text)[doc]))
+        worst = total[np.minimum(whole + passage, stop[doc[whole]])] - total[whole]
+        np.minimum.at(out, doc[whole], worst * math.sqrt(max(passages) / passage))
     return out
 
 
@@ -127,9 +131,10 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, prior: float) -> np.ndarray:
     return np.log((t + prior) / (r * scale + prior)).reshape(-1).astype(np.float32)
 
 
-def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, weight_col: str, passage: int = PASSAGE) -> DataFrame:
+def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, weight_col: str, passages: tuple[int, ...] | int = PASSAGES) -> DataFrame:
     """The documents, all columns, and their log weight. The ratios are broadcast: KINDS * 2**BITS floats."""
     shared = documents.sparkSession.sparkContext.broadcast(ratio)
+    passages = (passages,) if isinstance(passages, int) else passages
     schema = T.StructType([*documents.schema.fields, T.StructField(weight_col, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +143,7 @@ def weigh(documents: DataFrame, ratio: np.ndarray, text_col: str, weight_col: st
         for batch in batches:
             weight = np.zeros(batch.num_rows)
             for first, per_text, buckets, has_next in features.of(texts_of(batch.column(batch.schema.get_field_index(text_col)))):
-                weight[first : first + len(per_text)] = worst_passages(table, per_text, buckets, has_next, passage)
+                weight[first : first + len(per_text)] = worst_passages(table, per_text, buckets, has_next, passages)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weight)], names=[*batch.schema.names, weight_col])
 
     return map_rows(documents, run, schema)
@@ -155,7 +160,7 @@ def best_cut(good: np.ndarray, bad: np.ndarray, keep_good: float) -> float:
     return float(cuts[np.argmax(np.where(kept_good >= keep_good, kept_good + lost_bad, -1))])
 
 
-def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 1.0, passage: int = PASSAGE, keep_good: float = 0.985) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", quality_col: str = "quality", toxic_col: str = "toxic", most_labels: int = 20_000, prior: float = 1.0, passages: tuple[int, ...] = PASSAGES, keep_good: float = 0.985) -> Model:
     """A model from about ``most_labels`` labelled documents, chosen by a hash of their id, and all documents."""
     known = labels.select(F.col(label_id_col).alias("__of"), F.col(quality_col).alias("q"), F.col(toxic_col).alias("t")).where("__of IS NOT NULL AND (q IS NOT NULL OR t IS NOT NULL)")
     known = known.groupBy("__of").agg(((F.coalesce(F.min("q"), F.lit(1)) > 0) & (F.coalesce(F.max("t"), F.lit(0)) < 1)).alias("good"))
@@ -168,7 +173,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     if not target.any():
         return Model(np.zeros(len(target), np.float32), -math.inf)
     ratio = log_ratios(target, frequencies(documents, text_col), prior)
-    scored = weigh(sample.where("unseen"), ratio, "text", "w", passage).select("good", "w").toArrow()  # a fifth of most_labels rows
+    scored = weigh(sample.where("unseen"), ratio, "text", "w", passages).select("good", "w").toArrow()  # a fifth of most_labels rows
     good, weight = scored.column("good").to_numpy(), scored.column("w").to_numpy()
     return Model(ratio, best_cut(weight[good], weight[~good], keep_good))
 
@@ -198,22 +203,22 @@ def gumbel(id_col: str, seed: int) -> F.Column:
     return -F.log(-F.log(u))
 
 
-def _sampled(weighed: DataFrame, cut: float, id_col: str, weight_col: str, temperature: float, seed: int) -> DataFrame:
+def _sampled(weighed: DataFrame, cut: float, id_col: str, weight_col: str, temperature: float, seed: int, size: int | None = None) -> DataFrame:
     """Of a written table of weighed rows: the k largest by weight and noise."""
-    k = weighed.where(F.col(weight_col) >= cut).count()
+    k = weighed.where(F.col(weight_col) >= cut).count() if size is None else min(size, weighed.count())
     value = F.col(weight_col) + temperature * gumbel(id_col, seed)
     return weighed.where(value >= kth_largest(weighed.select(value.alias("value")), "value", k)) if k else weighed.limit(0)
 
 
-def select(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, weight_col: str = "log_weight", passage: int = PASSAGE, **options) -> DataFrame:
+def select(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, size: int | None = None, weight_col: str = "log_weight", passages: tuple[int, ...] = PASSAGES, **options) -> DataFrame:
     """The documents that importance resampling keeps, all columns, and their log weight."""
-    model = fit(documents, labels, id_col=id_col, text_col=text_col, passage=passage, **options)
-    weighed = materialize(weigh(documents.drop(weight_col), model.ratio, text_col, weight_col, passage), "weighed")
-    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed)
+    model = fit(documents, labels, id_col=id_col, text_col=text_col, passages=passages, **options)
+    weighed = materialize(weigh(documents.drop(weight_col), model.ratio, text_col, weight_col, passages), "weighed")
+    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed, size)
 
 
-def weights(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, weight_col: str = "log_weight", passage: int = PASSAGE, **options) -> DataFrame:
+def weights(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", temperature: float = 1.0, seed: int = 7, size: int | None = None, weight_col: str = "log_weight", passages: tuple[int, ...] = PASSAGES, **options) -> DataFrame:
     """(id, log weight) of the documents that importance resampling keeps; texts are not written."""
-    model = fit(documents, labels, id_col=id_col, text_col=text_col, passage=passage, **options)
-    weighed = materialize(weigh(documents.select(id_col, text_col), model.ratio, text_col, weight_col, passage).select(id_col, weight_col), "weights")
-    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed)
+    model = fit(documents, labels, id_col=id_col, text_col=text_col, passages=passages, **options)
+    weighed = materialize(weigh(documents.select(id_col, text_col), model.ratio, text_col, weight_col, passages).select(id_col, weight_col), "weights")
+    return _sampled(weighed, model.cut, id_col, weight_col, temperature, seed, size)

@@ -412,6 +412,24 @@ def test_quality_weights_by_hand(spark):
         assert abs(row["w"] - want) < 1e-4
 
 
+def test_quality_passages_and_size(spark):
+    """Two words and ten: the worst of both, the shorter times the root of five. A stated size makes the draw decide on these very weights."""
+    rng = random.Random(13)
+    words = [f"a{k}" for k in range(8)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 30)))) for i in range(80)]
+    df = docs(spark, rows)
+    ratio = quality.log_ratios(quality.frequencies(docs(spark, rows[:25]), "text"), quality.frequencies(df, "text"), 1.0)
+    one = {n: {r["doc_id"]: r["w"] for r in quality.weigh(df, ratio, "text", "w", n).collect()} for n in (2, 10)}
+    weighed = quality.weigh(df, ratio, "text", "w", (2, 10))
+    got = {r["doc_id"]: r["w"] for r in weighed.collect()}
+    assert all(abs(got[i] - min(one[2][i] * math.sqrt(5), one[10][i])) < 1e-9 for i in got)
+    kept = [{r["doc_id"] for r in quality._sampled(weighed, 0.0, "doc_id", "w", 1.0, seed, 20).collect()} for seed in range(6)]
+    assert all(len(k) == 20 for k in kept) and len({frozenset(k) for k in kept}) > 3
+    share = lambda some: sum(len(k & some) for k in kept) / (6 * len(some))
+    order = sorted(got, key=got.get)
+    assert share(set(order[-20:])) > share(set(order[20:60])) > share(set(order[:20])) - 1e-9
+
+
 def test_quality_samples_by_weight(spark):
     """Gumbel top-k at temperature 1: of equal weights any may stay, and the odds follow the weights."""
     weighed = spark.createDataFrame([(i, math.log(3) if i % 2 else 0.0) for i in range(20_000)], "doc_id long, w double")
