@@ -57,11 +57,12 @@ CELLS = frozenset(("td", "th", "br"))
 CLOSES_P = BLOCKS - {"html", "body", "caption", "tbody", "tfoot", "thead", "tr", "legend"}
 DROPPED = frozenset("aside button canvas datalist dialog embed footer form head iframe input menu nav noscript object script search select style svg template textarea title audio video".split())
 DROPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-DROPPED_CLASSES = frozenset("ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie cookiebar cookies disqus footer form gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices popup promo promoted promotion replies reply respond share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar topbar widget".split())
+DROPPED_CLASSES = frozenset("ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs comment comments commentlist consent discussion discussions cookie cookiebar cookies disqus footer form gdpr masthead menu menubar modal nav navbar navigation newsletter notice notices popup promo promoted promotion replies reply respond share sharing sidebar sidenav signup social sponsor sponsored subscribe toolbar topbar widget".split())
 NEUTRAL_PARTS = frozenset("area bar block box bottom bottoms center col column container content footer global group header holder inner item left link links list main message outer page panel right row section site slot text top unit wrap wrapper zone".split())
 NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
 CONTAINERS = frozenset(("article", "main"))
 GENERIC = frozenset(("div", "section", "span"))
+LANDMARKS = frozenset("article main nav header footer h1".split())
 #: Where a block stands: outside containers, in one, in a generic element of one.
 OUTSIDE, INSIDE, BOXED = range(3)
 
@@ -91,10 +92,19 @@ def signed(x: int) -> int:
 class Block:
     """Text of one block: where it stands, and what stands around it."""
 
-    __slots__ = ("dropped", "path", "text", "within")
+    __slots__ = ("dropped", "forms", "path", "text", "within")
 
-    def __init__(self, path: int, text: str, within: int, dropped: bool):
-        self.path, self.text, self.within, self.dropped = path, text, within, dropped
+    def __init__(self, path: int, text: str, within: int, dropped: bool, forms: list["Form"]):
+        self.path, self.text, self.within, self.dropped, self.forms = path, text, within, dropped, forms
+
+
+class Form:
+    """A form that is open, and whether it is the wrapper of a page."""
+
+    __slots__ = ("depth", "wraps")
+
+    def __init__(self, depth: int):
+        self.depth, self.wraps = depth, False
 
 
 def parse(page: str) -> tuple[Counter, list[Block]]:
@@ -106,6 +116,7 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
     blocks: list[Block] = []
     stack: list[tuple[str, int, int, bool]] = []  # tag, path, where, dropped
     inline: list[str] = []
+    forms: list[Form] = []
 
     def flush() -> None:
         if inline:
@@ -114,12 +125,14 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
             if text:
                 at = next((s for s in reversed(stack) if s[0] in BLOCKS), None)
                 top = stack[-1] if stack else ("", 0, OUTSIDE, False)
-                blocks.append(Block(at[1] if at else 0, text, top[2], top[3]))
+                blocks.append(Block(at[1] if at else 0, text, top[2], top[3], list(forms)))
 
     def close_to(depth: int) -> None:
         if any(s[0] in BLOCKS or s[3] for s in stack[depth:]):
             flush()
         del stack[depth:]
+        while forms and forms[-1].depth >= depth:
+            forms.pop()
 
     pos, end = 0, len(page)
     while pos < end:
@@ -166,7 +179,10 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
         elif tag in CELLS:
             inline.append(" ")
         parent = stack[-1] if stack else ("", 0, OUTSIDE, False)
-        dropped = parent[3] or is_dropped(tag, attributes) or (tag == "header" and not parent[2])
+        if tag in LANDMARKS:
+            for form in forms:
+                form.wraps = True
+        dropped = parent[3] or tag != "form" and is_dropped(tag, attributes) or (tag == "header" and not parent[2])
         if dropped and not parent[3] and tag not in VOID:
             flush()
         classes = " ".join(sorted({w for n, *v in ATTRIBUTE.findall(attributes) if n.lower() == "class" for w in "".join(v).split()})) if attributes else ""
@@ -180,8 +196,12 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
                 pos = gt + 1 if gt >= 0 else end
             continue
         if tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "path")):
+            if tag == "form":
+                forms.append(Form(len(stack)))
             stack.append((tag, path, INSIDE if tag in CONTAINERS else BOXED if parent[2] and tag in GENERIC else parent[2], dropped))
     flush()
+    for b in blocks:
+        b.dropped = b.dropped or not all(form.wraps for form in b.forms)
     return paths, blocks
 
 
@@ -192,11 +212,7 @@ def text_token(block: Block) -> int:
 def main_text(page: str | None, texts: frozenset[int] = frozenset(), paths: frozenset[int] = frozenset()) -> str:
     """The page's main text, given its host's fixed texts and fixed paths."""
     fixed = lambda b: b.within != INSIDE and (b.within == OUTSIDE or b.path in paths) and text_token(b) in texts
-    blocks = [b for b in parse(page or "")[1] if not b.dropped and not fixed(b)]
-    inside = [b for b in blocks if b.within]
-    if 2 * sum(len(b.text) for b in inside) >= sum(len(b.text) for b in blocks):
-        blocks = inside
-    return "\n".join(b.text for b in blocks)
+    return "\n".join(b.text for b in parse(page or "")[1] if not b.dropped and not fixed(b))
 
 
 def host_of(url: Column) -> Column:

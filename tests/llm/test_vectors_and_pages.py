@@ -124,7 +124,7 @@ def test_template_decides(spark):
     got = {r["page_id"]: r["text"] for r in html_extract.extract(pages_frame(spark, rows)).collect()}
     assert got == want
     without = {r[0]: html_extract.main_text(r[2]) for r in rows}
-    assert sum(without[i] != got[i] for i in want) == 8 * 2  # the tools and hints in main, the menu and the legal notice beside the body
+    assert sum(without[i] != got[i] for i in want) == 8 * 3  # the tools and hints in main, the menu and the legal notice beside the body, the links and the imprint beside the article
 
 
 def test_shared_sentence_and_copies_stay(spark):
@@ -141,3 +141,13 @@ def test_broken_attributes_and_clashing_columns(spark):
     df = pages_frame(spark, [(1, "u", "<p>a"), (None, None, None)]).selectExpr("page_id", "url", "html", "1 AS text", "2 AS n_chars", "3 AS host", "4 AS texts", "5 AS paths", "6 AS id")
     out = html_extract.extract(df)
     assert out.columns == ["page_id", "url", "text", "n_chars"] and {(r["page_id"], r["text"]) for r in out.collect()} == {(1, "a"), (None, "")}
+
+
+def test_nothing_else_is_dropped():
+    """A form around the page, a story that goes on beside its article, comments under another name, a real form."""
+    whole = "<body><form action=x><nav>Menu</nav><article><p>Story</p><form>Search <input></form><p>end</p></article><footer>F</footer></form></body>"
+    assert html_extract.main_text(whole) == "Story\nend"
+    assert html_extract.main_text("<article><p>part one</p></article><div>part two</div>") == "part one\npart two"
+    assert html_extract.main_text("<main><p>x</p><div class='discussion'>me too</div></main>") == "x"
+    assert html_extract.main_text("<body><form>Name <input> <button>Go</button></form><p>hello</p>") == "hello"
+    assert html_extract.main_text("<body><form><p>Sign in</p></form><form><h1>T</h1><p>text</p>") == "T\ntext"
