@@ -231,9 +231,12 @@ def window_grid(spark, sf_dir):
     return frames.window_grid(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("recording_id"), (F.col("s_suppkey") * 123_457).alias("n_samples")), shift=120_000)
 
 
-@query("SELECT * FROM (VALUES (0, ''), (1, '0'), (2, '1'), (3, '2'), (4, '0,1'), (5, '0,2'), (6, '1,2')) AS t(class, speakers)")
+@query("""WITH m AS (SELECT * FROM (VALUES (0, ''), (1, '0'), (2, '1'), (3, '2'), (4, '0,1'), (5, '0,2'), (6, '1,2')) AS t(class, speakers))
+SELECT event_id, class, speakers FROM (SELECT event_id, CAST(user_id % 8 AS INTEGER) AS class FROM events) JOIN m USING (class)""")
 def powerset_map(spark, sf_dir):
-    return frames.powerset_table(spark).select("class", F.array_join(F.col("speakers").cast("array<string>"), ",").alias("speakers"))
+    """The speakers of each event's class; class 7 is beyond the powerset."""
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 8).cast("int").alias("class"))
+    return rows.join(F.broadcast(frames.powerset_table(spark)), "class").select("event_id", "class", F.array_join(F.col("speakers").cast("array<string>"), ",").alias("speakers"))  # seven rows
 
 
 @query("""WITH f AS (SELECT event_id // 1000 AS recording_id, event_id % 1000 // 10 AS window_idx, CAST(event_id % 10 AS INTEGER) AS frame_idx, user_id % 8 AS class, 15987655 AS n FROM events),
@@ -263,11 +266,30 @@ def mel_scale(spark, sf_dir):
 @query("""WITH p AS (SELECT i, 700 * (pow(10, (m0 + (m1 - m0) * i / 81) / 2595) - 1) AS hz FROM (SELECT unnest(range(82)) AS i, 2595 * log10(1 + 20.0::DOUBLE / 700) AS m0, 2595 * log10(1 + 8000.0::DOUBLE / 700) AS m1)),
 n AS (SELECT i, CAST(round(hz / 31.25) AS INTEGER) AS at FROM p), t AS (SELECT a.i AS mel, a.at AS a, b.at AS b, c.at AS c FROM n a JOIN n b ON b.i = a.i + 1 JOIN n c ON c.i = a.i + 2),
 w AS (SELECT mel, k, greatest(CASE WHEN a < b AND k BETWEEN a AND b THEN (k - a) / (b - a) ELSE 0 END, CASE WHEN b < c AND k BETWEEN b AND c THEN (c - k) / (c - b) ELSE 0 END) AS weight FROM t, (SELECT unnest(range(257)) AS k))
-SELECT CAST(mel AS INTEGER) AS mel, CAST(k AS INTEGER) AS bin, round(weight::DOUBLE, 5) AS weight FROM w WHERE weight > 0""")
+SELECT p_partkey, CAST(mel AS INTEGER) AS mel, CAST(k AS INTEGER) AS bin, round(weight::DOUBLE, 5) AS weight FROM w JOIN part ON k = p_partkey % 257 WHERE weight > 0""")
 def mel_bank(spark, sf_dir):
+    """The filters that hold each part's bin."""
     bank = signal.filterbank()
     at = np.argwhere(bank > 0)
-    return spark.createDataFrame([(int(m), int(k), round(float(bank[m, k]), 5)) for m, k in at], "mel int, bin int, weight double")
+    sides = spark.createDataFrame([(int(m), int(k), round(float(bank[m, k]), 5)) for m, k in at], "mel int, bin int, weight double")
+    rows = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 257).cast("int").alias("bin"))
+    return rows.join(F.broadcast(sides), "bin").select("p_partkey", "mel", "bin", "weight")  # at most two filters a bin
+
+
+# a discrete Fourier transform as a join of frames with a table of cosines; 1,600 samples a second: frames of 40, every 16, 64 bins, 8 filters
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS x FROM embeddings),
+f AS (SELECT vec_id, f, x[f * 16 + 1 : f * 16 + 40] AS y FROM (SELECT vec_id, x, unnest(range(0, CASE WHEN len(x) >= 40 THEN 1 + (len(x) - 40) // 16 ELSE 0 END)) AS f FROM v)),
+d AS (SELECT vec_id, f, list_transform(y, lambda e: e - list_avg(y)) AS d FROM f),
+s AS (SELECT vec_id, f, i, (d[i + 1] - 0.97::DOUBLE * d[greatest(i, 1)]) * (0.5::DOUBLE - 0.5::DOUBLE * cos(2 * pi() * i / 39)) AS e FROM (SELECT *, unnest(range(0, 40)) AS i FROM d)),
+t AS (SELECT k, i, cos(2 * pi() * k * i / 64) AS c, sin(2 * pi() * k * i / 64) AS z FROM (SELECT unnest(range(0, 32)) AS k), (SELECT unnest(range(0, 40)) AS i)),
+p AS (SELECT vec_id, f, k, pow(sum(e * c), 2) + pow(sum(e * z), 2) AS power FROM s JOIN t USING (i) GROUP BY vec_id, f, k),
+b AS (SELECT m, lo + (hi - lo) * m / 9 AS l, lo + (hi - lo) * (m + 1) / 9 AS c, lo + (hi - lo) * (m + 2) / 9 AS r FROM (SELECT unnest(range(0, 8)) AS m, 1127 * ln(1 + 20 / 700::DOUBLE) AS lo, 1127 * ln(1 + 800 / 700::DOUBLE) AS hi)),
+w AS (SELECT m, k, CASE WHEN q > l AND q < r THEN least((q - l) / (c - l), (r - q) / (r - c)) ELSE 0 END AS weight FROM b, (SELECT unnest(range(0, 32)) AS k, 1127 * ln(1 + unnest(range(0, 32)) * 25 / 700::DOUBLE) AS q))
+SELECT vec_id, CAST(f AS INTEGER) AS frame, CAST(m AS INTEGER) AS mel, round(ln(greatest(sum(power * weight), 1.1920928955078125e-07::DOUBLE)), 4) AS energy FROM p JOIN w USING (k) GROUP BY vec_id, f, m""")
+def mel_energies(spark, sf_dir):
+    found = table(spark, sf_dir, "embeddings").select("vec_id", signal.mel_energies_of(F.col("embedding"), 8, 1600).alias("m"))
+    rows = found.select("vec_id", F.posexplode("m").alias("mel", "of")).select("vec_id", "mel", F.posexplode("of").alias("frame", "e"))
+    return rows.select("vec_id", "frame", "mel", F.round("e", 4).alias("energy"))
 
 
 @query()
