@@ -364,6 +364,16 @@ def cluster_invariants(spark, sf_dir):
     return found.groupBy("recording_id").agg(F.count(F.lit(1)).alias("members"), F.countDistinct("cluster").alias("clusters"), F.max("cluster").cast("long").alias("last_label"), F.min(F.when(F.col("cluster") == 0, F.col("seq"))).alias("first_of_zero"))
 
 
+@query("""WITH v AS (SELECT user_id % 40 AS recording_id, event_id AS seq, event_type FROM events WHERE user_id % 40 > 2 OR event_id % 9 = 0), f AS (SELECT recording_id, event_type, min(seq) AS first FROM v GROUP BY recording_id, event_type)
+SELECT v.recording_id, seq, CAST(dense_rank() OVER (PARTITION BY v.recording_id ORDER BY first) - 1 AS INTEGER) AS cluster FROM v JOIN f ON v.recording_id = f.recording_id AND v.event_type = f.event_type""")
+def cluster_planted(spark, sf_dir):
+    """Each event speaks with its type's voice, a direction of its own, turned a little by its number: threshold clustering finds the types."""
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 40).alias("recording_id"), F.col("event_id").alias("seq"), "event_type").where("recording_id > 2 OR seq % 9 = 0")
+    kind = F.pmod(F.xxhash64("event_type"), F.lit(64))
+    voice = F.transform(F.sequence(F.lit(0), F.lit(64)), lambda k: F.when(k == kind, 1.0).when(k == 64, F.sin("seq") / 3).otherwise(0.0))
+    return clustering.cluster_all(rows.select("recording_id", "seq", vectors.normalize(voice).alias("embedding")), min_similarity=0.5)
+
+
 @query("SELECT vec_id, label, dense_rank() OVER (ORDER BY label) - 1 AS cluster FROM embeddings")
 def label_remap(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
