@@ -3,8 +3,7 @@
 Both models are multinomials over hashed n-grams, every occurrence counted: words
 (lower-cased, between ASCII white space), pairs of neighbouring words, the first four bytes
 and the last two bytes of each word. Each of the four kinds has 2**BITS buckets of its own.
-*Target* is learned from four fifths of a bounded sample of labelled documents, those that
-are good; *raw* from all documents. A bucket's log ratio is
+*Target* is learned from the good ones of a bounded sample of labelled documents; *raw* from all documents. A bucket's log ratio is
 
     log((t + prior) / (r * T / R + prior))
 
@@ -22,8 +21,9 @@ where the target sample is small.
 Selection is by Gumbel top-k: log weight plus ``temperature`` times a Gumbel variable
 seeded by a hash of the id, the k largest. At temperature 1 that samples k documents
 without replacement in proportion to their weights. k is ``size`` if given, else the number of documents whose
-weight reaches the cut that separates the rest of the labelled sample, which the target
-model has not seen, best among those that keep ``keep_good`` of its good documents. The
+weight reaches the cut that separates the labelled sample best among those that keep ``keep_good`` of its
+good documents; there each document is weighed by a target model of the other four fifths,
+which has not seen it. The
 k-th largest value is found by counting, without collecting or sorting all of them.
 
 Defined cases: null and empty texts have no word and weight 0; no labels, or labels of one
@@ -39,6 +39,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,8 @@ IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 HEAD_BYTES, TAIL_BYTES = 4, 2
 #: Words of the passages that are looked at.
 PASSAGES = (2, 10)
+#: Parts of the labelled sample, each weighed by models of the others.
+FOLDS = 5
 
 
 class Features:
@@ -166,16 +169,23 @@ def fit(documents: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     known = known.groupBy("__of").agg(((F.coalesce(F.min("q"), F.lit(1)) > 0) & (F.coalesce(F.max("t"), F.lit(0)) < 1)).alias("good"))
     number = known.count()
     share = min(1_000_000, math.ceil(1e6 * most_labels / max(1, number)))
-    known = known.where(F.pmod(F.xxhash64("__of"), F.lit(1_000_000)) < share).withColumn("unseen", F.pmod(F.xxhash64(F.lit("cut"), "__of"), F.lit(5)) == 0)
-    sample = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("__of")).select("text", "good", "unseen")  # about most_labels rows of three numbers
+    known = known.where(F.pmod(F.xxhash64("__of"), F.lit(1_000_000)) < share).withColumn("fold", F.pmod(F.xxhash64(F.lit("cut"), "__of"), F.lit(FOLDS)))
+    sample = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("__of")).drop("__of")  # about most_labels rows of three numbers
     sample = materialize(sample, "labelled")
-    target = frequencies(sample.where("good AND NOT unseen"), "text")
+    folds = [frequencies(sample.where("good").where(F.col("fold") == k), "text") for k in range(FOLDS)]
+    target = sum(folds)
     if not target.any():
         return Model(np.zeros(len(target), np.float32), -math.inf)
-    ratio = log_ratios(target, frequencies(documents, text_col), prior)
-    scored = weigh(sample.where("unseen"), ratio, "text", "w", passages).select("good", "w").toArrow()  # a fifth of most_labels rows
+    raw = frequencies(documents, text_col)
+    scored = unseen_weights(sample, folds, raw, prior, passages).select("good", "w").toArrow()  # about most_labels rows
     good, weight = scored.column("good").to_numpy(), scored.column("w").to_numpy()
-    return Model(ratio, best_cut(weight[good], weight[~good], keep_good))
+    return Model(log_ratios(target, raw, prior), best_cut(weight[good], weight[~good], keep_good))
+
+
+def unseen_weights(sample: DataFrame, folds: list[np.ndarray], raw: np.ndarray, prior: float, passages: tuple[int, ...]) -> DataFrame:
+    """The sample, and its log weights (w) by the target models of the other folds."""
+    parts = [weigh(sample.where(F.col("fold") == k), log_ratios(sum(folds) - own, raw, prior), "text", "w", passages) for k, own in enumerate(folds)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
