@@ -34,12 +34,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def rows_a_batch(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Python functions that run inside get at most ``rows`` rows at a time: for rows of megabytes."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def rows_a_batch(spark: SparkSession, rows: int, stored: int) -> Iterator[None]:
+    """For rows of megabytes: inside, Python functions get at most ``rows`` rows at a time, a scan of Parquet reads
+    ``stored``, and an aggregate that gathers lists holds ``rows`` groups before it sorts, instead of 128."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.parquet.columnarReaderBatchSize": min(stored, 4096), "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": min(rows, 128)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, n in wanted.items():
+        spark.conf.set(name, str(n))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
