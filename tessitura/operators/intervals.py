@@ -85,7 +85,7 @@ def file_timeline(files: DataFrame) -> DataFrame:
 def fixed_chunks(recordings: DataFrame, chunk_samples: int = 40_000_000, rate: int = 16_000) -> DataFrame:
     """(recording_id, chunk_idx, first_sample, n_samples, offset_s) of each fixed chunk."""
     n = F.ceil(F.col("n_samples") / chunk_samples)
-    each = recordings.where("n_samples > 0").select("recording_id", F.col("n_samples").alias("total"), F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("chunk_idx"))
+    each = ranges.counted(recordings.where("n_samples > 0").select("recording_id", "n_samples"), n, "chunk_idx").withColumnRenamed("n_samples", "total")
     first = F.col("chunk_idx") * chunk_samples
     return each.select("recording_id", "chunk_idx", first.alias("first_sample"), F.least(F.lit(chunk_samples), F.col("total") - first).alias("n_samples"), (first / rate).alias("offset_s"))
 

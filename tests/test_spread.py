@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessitura.operators import frames
+from tessitura.operators import frames, intervals
 
 
 def spread(df):
@@ -15,3 +15,10 @@ def test_window_grid(spark):
     assert spread(made) > 3  # runs of 65,536 windows
     got = {r["recording_id"]: r[1:] for r in made.groupBy("recording_id").agg(F.count("window_idx"), F.countDistinct("window_idx"), F.max("window_idx"), F.sum("pad")).collect()}
     assert got == {1: (300_000, 300_000, 299_999, 0), 2: (1, 1, 0, 159_993)}
+
+
+def test_fixed_chunks(spark):
+    made = intervals.fixed_chunks(spark.createDataFrame([(1, 10 * 300_000 - 3), (2, 4), (3, 0)], "recording_id long, n_samples long").coalesce(1), chunk_samples=10)
+    assert spread(made) > 3
+    got = {r["recording_id"]: r[1:] for r in made.groupBy("recording_id").agg(F.count("chunk_idx"), F.countDistinct("chunk_idx"), F.max("first_sample"), F.sum("n_samples")).collect()}
+    assert got == {1: (300_000, 300_000, 2_999_990, 2_999_997), 2: (1, 1, 0, 4)}
