@@ -109,3 +109,13 @@ def test_line_stage_texts(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.line_stage(spark, spark.createDataFrame(odd_rows(), EXTRA), SF).collect()}
     assert out[7] == ("other end", 9) and out[6][0].startswith("one line") and out[1] == (None, None) and out[2] == ("", 0)
+
+
+def test_simhash_stage_uses_fingerprints(spark, monkeypatch):
+    """The stage's groups come from the fingerprints' trees as well as from the whole sets."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(k, text) for k, text in enumerate(["alpha beta gamma delta", "other words stand here", "third text of its own"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spark.createDataFrame([(0, "", 0), (1, "", 0), (2, "", 2)], "doc_id long, fingerprint string, component_id long")
+    monkeypatch.setattr(corpus_pipeline.simhash, "near_duplicates", lambda docs: found)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.simhash_stage(spark, df, SF).collect()) == [0, 2]
