@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessitura.llm import common, decontaminate, language_id, line_dedup, mixing, quality, secrets, simhash, suffix_dedup
+from tessitura.llm import common, decontaminate, language_id, line_dedup, mixing, quality, secrets, shingle_dedup, simhash, suffix_dedup
 
 DOCS = "doc_id long, text string, source string, n long, start int, key string"
 
@@ -565,6 +565,20 @@ def test_near_copies_by_shingles(spark):
     assert corpus_pipeline.simhash_stage(spark, docs(spark, []), "").count() == 0
 
 
+def test_fingerprints_do_not_link_unlike_texts(spark):
+    """Two bits apart is no proof: whole sets decide on SimHash groups, and link those that are alike."""
+    import corpus_pipeline
+
+    low, high = " ".join(f"w{k}" for k in range(40)), " ".join(f"v{k}" for k in range(40))
+    rows = [(1, low), (2, high), (3, low + " more"), (4, None)]
+    groups = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 4)], "doc_id long, component_id long")
+    found = shingle_dedup.near_duplicates(docs(spark, rows), groups=groups)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(corpus_pipeline.simhash, "near_duplicates", lambda d: groups)
+        assert {r["doc_id"] for r in corpus_pipeline.simhash_stage(spark, docs(spark, rows), "").collect()} == {1, 2, 4}
+
+
 def test_long_word_is_read_whole():
     model = small_model({(1, "x"): (50, 0), (1, "y"): (0, 50)})
     assert language_id.Scorer(model).predict("x" * 500 + "y" * 19_000 + "x" * 500)[0] == "b"
