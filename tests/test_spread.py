@@ -62,3 +62,12 @@ def test_recordings_share_batches(spark):
     with storage.settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": 8}):
         got = clustering.cluster(df, min_similarity="least", num_clusters="number").collect()
     assert {(r["recording_id"], r["seq"]): r["cluster"] for r in got} == want
+
+
+def test_windows_are_stored_small(spark, tmp_path):
+    """Tasks go through the same few window numbers again and again: under a byte a window on disk, in any number of recordings."""
+    rows = spark.range(1, 401).select(F.col("id").alias("recording_id"), (F.col("id") * 3_000_000).alias("n_samples"))
+    frames.window_grid(rows, shift=120_000).write.parquet(str(tmp_path / "grid"))
+    made = spark.read.parquet(str(tmp_path / "grid"))
+    assert made.count() == sum(1 + max(0, -(-(3_000_000 * k - 160_000) // 120_000)) for k in range(1, 401)) and made.distinct().count() == made.count()
+    assert sum(f.stat().st_size for f in (tmp_path / "grid").glob("*.parquet")) < made.count()
